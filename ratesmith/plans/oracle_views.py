@@ -23,6 +23,9 @@ def _view(name: str, body: str) -> None:
     VIEWS[name] = body.strip()
 
 
+define_view = _view
+
+
 def _ratings_raw(item_col: str) -> str:
     return f"""
     SELECT o.o_custkey AS user_id, l.{item_col} AS business_id,
