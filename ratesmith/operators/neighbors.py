@@ -38,6 +38,7 @@ MAX_STARS = 5.0
 MIN_STARS, TOP_STARS = 1.0, 5.0
 TIE_DIGITS = 9
 DEFAULT_SALT = 8
+DEFAULT_HEAVY_USER = 1000  # raters above this many ratings take the pair-driven path
 
 
 def entity_means(raw: DataFrame, key: str, name: str) -> DataFrame:
@@ -56,23 +57,46 @@ def needed_item_pairs(candidates: DataFrame) -> DataFrame:
     return candidates.select("target", "rated").distinct()
 
 
-def corating_rows(needed: DataFrame, ratings: DataFrame, salt: int = DEFAULT_SALT) -> DataFrame:
+def corating_rows(needed: DataFrame, ratings: DataFrame, salt: int = DEFAULT_SALT,
+                  heavy_threshold: int = DEFAULT_HEAVY_USER) -> DataFrame:
     """(target, rated, user_id, x, y) for every co-rater of a needed pair.
 
-    The first join is on the target item, so a hot item would land in one
-    task; the ratings side is salted by user and the (smaller) pairs side is
-    replicated over the salts, spreading each item over ``salt`` tasks.
+    Exact, in two disjoint parts split on the rater's number of ratings:
+
+    * ordinary raters: self-join of the ratings on ``user_id`` (cost
+      Σ deg² ≤ threshold·|ratings|), kept only for needed (target, rated);
+    * heavy raters (more than ``heavy_threshold`` ratings): driven from the
+      needed pairs instead – join on the target (the ratings side salted by
+      user so a hot item spreads over ``salt`` tasks), then look up the
+      heavy rater's rating of the other item.  A hot rater therefore never
+      expands into all pairs of its own items.
     """
-    r_t = ratings.select(F.col("business_id").alias("target"), "user_id", F.col("stars").alias("x"))
-    r_r = ratings.select(F.col("business_id").alias("rated"), "user_id", F.col("stars").alias("y"))
+    deg = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("_deg"))
+    r = ratings.select("user_id", "business_id", "stars").join(deg, "user_id")
+    light = r.where(F.col("_deg") <= heavy_threshold)
+    heavy = r.where(F.col("_deg") > heavy_threshold)
+    targets = needed.select(F.col("target").alias("business_id")).distinct()
+    rateds = needed.select(F.col("rated").alias("business_id")).distinct()
+
+    lt = (light.join(targets, "business_id", "left_semi")
+               .select("user_id", F.col("business_id").alias("target"), F.col("stars").alias("x")))
+    lr = (light.join(rateds, "business_id", "left_semi")
+               .select("user_id", F.col("business_id").alias("rated"), F.col("stars").alias("y")))
+    by_user = (lt.join(lr, "user_id").where(F.col("target") != F.col("rated"))
+                 .join(needed, ["target", "rated"], "left_semi"))
+
+    h_t = heavy.select(F.col("business_id").alias("target"), "user_id", F.col("stars").alias("x"))
+    h_r = heavy.select(F.col("business_id").alias("rated"), "user_id", F.col("stars").alias("y"))
     if salt > 1:
-        r_t = r_t.withColumn("_salt", F.pmod(F.xxhash64("user_id"), F.lit(salt)))
-        needed = needed.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
+        h_t = h_t.withColumn("_salt", F.pmod(F.xxhash64("user_id"), F.lit(salt)))
+        salted = needed.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
                                                                   F.lit(salt - 1).cast("long"))))
-        first = needed.join(r_t, ["target", "_salt"]).drop("_salt")
+        first = salted.join(h_t, ["target", "_salt"]).drop("_salt")
     else:
-        first = needed.join(r_t, "target")
-    return first.join(r_r, ["rated", "user_id"])
+        first = needed.join(h_t, "target")
+    by_pair = first.join(h_r, ["rated", "user_id"])
+    cols = ["target", "rated", "user_id", "x", "y"]
+    return by_user.select(*cols).unionByName(by_pair.select(*cols))
 
 
 def corated_stats(needed: DataFrame, ratings: DataFrame, salt: int = DEFAULT_SALT) -> DataFrame:
