@@ -127,7 +127,8 @@ FEATURE_SETS = {
     "fs23": USER_COLS + BUSINESS_COLS + REVIEW_COLS[1:] + ("photo_count", "tip_count"),
     "fs20l": USER_COLS + BUSINESS_COLS[:7] + REVIEW_COLS[1:] + ("photo_count",),
 }
-LOG_COUNT_SETS = {"fs20l"}
+FEATURE_SETS["fs23l"] = FEATURE_SETS["fs23"]   # same columns, log1p review counts
+LOG_COUNT_SETS = {"fs20l", "fs23l"}
 
 
 def business_side(business: DataFrame, review: DataFrame, photo: DataFrame | None,

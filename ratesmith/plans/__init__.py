@@ -3,4 +3,4 @@
 
 def load_all() -> None:
     """Import every query module so its queries register themselves."""
-    from ratesmith.plans import q_features, q_neighbors  # noqa: F401
+    from ratesmith.plans import q_analysis, q_features, q_models, q_neighbors  # noqa: F401

@@ -19,7 +19,7 @@ from ratesmith.plans.oracle_views import with_views
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
-ORACLE: dict[str, str] = {}
+_ORACLE_SRC: dict[str, tuple[str, tuple[str, ...]]] = {}
 
 ROUND_PLACES = 6
 
@@ -52,6 +52,11 @@ def register(name: str, sql: str | None = None, doubles: Sequence[str] = ()):
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if sql is not None:
-            ORACLE[name] = rounded_sql(sql, doubles)
+            _ORACLE_SRC[name] = (sql, tuple(doubles))
         return fn
     return deco
+
+
+def oracle_strings() -> dict[str, str]:
+    """Self-contained oracle SQL per query (views expanded once all are defined)."""
+    return {name: rounded_sql(sql, doubles) for name, (sql, doubles) in _ORACLE_SRC.items()}
