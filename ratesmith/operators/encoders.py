@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratesmith.functions.scalars import NONE_SENTINEL, UNKNOWN, token_list
+from ratesmith.session import cut_lineage
 
 _POS_MASK = (1 << 33) - 1  # monotonically_increasing_id keeps the row number in the low 33 bits
 
@@ -23,20 +24,25 @@ def consecutive_index(df: DataFrame, order_by: Sequence[str], name: str = "idx",
                       num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 0-based position of each row in ``order_by`` order.
 
-    ``order_by`` must be a total order over the rows (distinct values or a
-    unique ordinal).  Work is spread over ``num_partitions`` range partitions;
-    the only gathered table is one count per partition.
+    ``order_by`` should be a total order over the rows (distinct values or a
+    unique ordinal).  Rows are range-partitioned, numbered inside their
+    partition, and frozen with a reliable checkpoint: the range bounds come
+    from a sample of an input whose order may differ between runs, so the
+    numbering is written once and both uses (per-partition counts, final
+    positions) read the same files.  The only gathered table is one count per
+    partition.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    frozen = cut_lineage(ranged)
+    counts = frozen.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select("_pid", (F.sum("_n").over(w) - F.col("_n")).alias("_off"))
     # ``offsets`` holds one row per range partition: a proven, tiny bound.
-    out = ranged.join(F.broadcast(offsets), "_pid")
+    out = frozen.join(F.broadcast(offsets), "_pid")
     return out.withColumn(name, (F.col("_off") + F.col("_pos")).cast("long")).drop("_pid", "_pos", "_off")
 
 

@@ -99,9 +99,10 @@ def corating_rows(needed: DataFrame, ratings: DataFrame, salt: int = DEFAULT_SAL
     return by_user.select(*cols).unionByName(by_pair.select(*cols))
 
 
-def corated_stats(needed: DataFrame, ratings: DataFrame, salt: int = DEFAULT_SALT) -> DataFrame:
+def corated_stats(needed: DataFrame, ratings: DataFrame, salt: int = DEFAULT_SALT,
+                  heavy_threshold: int = DEFAULT_HEAVY_USER) -> DataFrame:
     """Pearson sufficient statistics per needed pair (pairs with none: n = 0)."""
-    rows = corating_rows(needed, ratings, salt)
+    rows = corating_rows(needed, ratings, salt, heavy_threshold)
     sums = rows.groupBy("target", "rated").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("x").alias("sx"), F.sum("y").alias("sy"),
@@ -129,11 +130,11 @@ def similarity_from_stats(stats: DataFrame, item_means: DataFrame) -> DataFrame:
 
 
 def item_similarity(pairs: DataFrame, ratings: DataFrame, raw: DataFrame,
-                    salt: int = DEFAULT_SALT) -> DataFrame:
+                    salt: int = DEFAULT_SALT, heavy_threshold: int = DEFAULT_HEAVY_USER) -> DataFrame:
     """Similarity of every (target, rated) pair the requested pairs need."""
     needed = needed_item_pairs(candidate_pairs(pairs, ratings))
     means = entity_means(raw, "business_id", "item_mean")
-    return similarity_from_stats(corated_stats(needed, ratings, salt), means)
+    return similarity_from_stats(corated_stats(needed, ratings, salt, heavy_threshold), means)
 
 
 def top_neighbors(candidates: DataFrame, sims: DataFrame, k: int = DEFAULT_K,
@@ -151,7 +152,8 @@ def top_neighbors(candidates: DataFrame, sims: DataFrame, k: int = DEFAULT_K,
 
 
 def predict(pairs: DataFrame, ratings: DataFrame, raw: DataFrame, k: int = DEFAULT_K,
-            power: float = AMPLIFY_POWER, salt: int = DEFAULT_SALT) -> DataFrame:
+            power: float = AMPLIFY_POWER, salt: int = DEFAULT_SALT,
+            heavy_threshold: int = DEFAULT_HEAVY_USER) -> DataFrame:
     """Q3: (user_id, business_id, prediction) for every row of ``pairs``.
 
     ``ratings``: de-duplicated (user_id, business_id, stars); ``raw``: every
@@ -159,7 +161,8 @@ def predict(pairs: DataFrame, ratings: DataFrame, raw: DataFrame, k: int = DEFAU
     """
     cands = candidate_pairs(pairs, ratings)
     item_means = entity_means(raw, "business_id", "item_mean")
-    sims = similarity_from_stats(corated_stats(needed_item_pairs(cands), ratings, salt), item_means)
+    sims = similarity_from_stats(
+        corated_stats(needed_item_pairs(cands), ratings, salt, heavy_threshold), item_means)
     top = top_neighbors(cands, sims, k, power)
     agg = top.groupBy("user_id", "target").agg(
         F.sum(F.col("weight") * F.col("rating")).alias("num"),

@@ -37,7 +37,7 @@ def _ratings_raw(item_col: str) -> str:
 def _split_views(prefix: str, raw: str) -> None:
     _view(f"{prefix}_ratings", f"""
     SELECT user_id, business_id,
-           arg_max(stars, row(l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS stars
+           arg_max(stars, row(l_orderkey, l_linenumber, l_partkey, l_suppkey, stars)) AS stars
     FROM {raw} GROUP BY user_id, business_id""")
     _view(f"{prefix}_val", f"""
     SELECT user_id, business_id, stars FROM {prefix}_ratings

@@ -48,8 +48,12 @@ def ratings_raw(spark: SparkSession, sf_dir: str, item: str = "dense") -> DataFr
 
 
 def dedupe_ratings(raw: DataFrame) -> DataFrame:
-    """Last rating by ordinal per (user, business) (the reference's dict build)."""
-    return last_by_ordinal(raw, ["user_id", "business_id"], ["stars"], list(ORDINAL))
+    """Last rating by ordinal per (user, business) (the reference's dict build).
+
+    The four ordinal columns are not unique on every scale of the test data,
+    so the rating itself breaks the remaining ties (highest wins).
+    """
+    return last_by_ordinal(raw, ["user_id", "business_id"], ["stars"], [*ORDINAL, "stars"])
 
 
 def validation_pairs(ratings: DataFrame) -> DataFrame:
