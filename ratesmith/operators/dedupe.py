@@ -16,9 +16,14 @@ from pyspark.sql import functions as F
 
 def last_by_ordinal(df: DataFrame, keys: Sequence[str], values: Sequence[str],
                     ordinal: Sequence[str]) -> DataFrame:
-    """Per key, the ``values`` of the row with the greatest ``ordinal``."""
-    picked = F.max_by(F.struct(*[F.col(v) for v in values]),
-                      F.struct(*[F.col(o) for o in ordinal])).alias("_last")
+    """Per key, the ``values`` of the row with the greatest ``ordinal``.
+
+    ``max`` of the struct (ordinal first, then the values) is the same row
+    as ``max_by(values, ordinal)`` when the ordinal is unique, breaks
+    remaining ties on the values, and measured faster than ``max_by``.
+    """
+    fields = [F.col(o).alias(f"_o{i}") for i, o in enumerate(ordinal)] + [F.col(v) for v in values]
+    picked = F.max(F.struct(*fields)).alias("_last")
     return (df.groupBy(*keys).agg(picked)
               .select(*keys, *[F.col(f"_last.{v}").alias(v) for v in values]))
 
