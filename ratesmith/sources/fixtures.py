@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ratesmith.functions.scalars import stars_from_quantity
 from ratesmith.operators.dedupe import last_by_ordinal
+from ratesmith.session import cut_lineage
 
 # Fixed values of the fixture rules.
 ORDINAL = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -156,33 +157,50 @@ def event_refs(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
 
 @dataclass
 class Dataset:
-    """The reference's six inputs plus the hold-out split, as DataFrames."""
+    """The reference's six inputs plus the hold-out split, as DataFrames.
+
+    With ``materialize`` the derived tables used by several branches of a
+    query (ratings, the split, user and business) are written once as
+    reliable checkpoints in the shared checkpoint folder.  Off by default:
+    at the test scales the extra write jobs cost more than the re-derivation
+    (measured with bench.py), and Spark already reuses identical exchanges.
+    """
 
     spark: SparkSession
     sf_dir: str
     item: str = "dense"
+    materialize: bool = False
+
+    def _m(self, df: DataFrame) -> DataFrame:
+        return cut_lineage(df) if self.materialize else df
+
+    @cached_property
+    def _raw_dense(self) -> DataFrame:
+        return self._m(ratings_raw(self.spark, self.sf_dir, "dense"))
 
     @cached_property
     def ratings_raw(self) -> DataFrame:
-        return ratings_raw(self.spark, self.sf_dir, self.item)
+        if self.item == "dense":
+            return self._raw_dense
+        return self._m(ratings_raw(self.spark, self.sf_dir, self.item))
 
     @cached_property
     def ratings(self) -> DataFrame:
-        return dedupe_ratings(self.ratings_raw)
+        return self._m(dedupe_ratings(self.ratings_raw))
 
     @cached_property
     def val_pairs(self) -> DataFrame:
-        return validation_pairs(self.ratings)
+        return self._m(validation_pairs(self.ratings))
 
     @cached_property
     def train_raw(self) -> DataFrame:
         keys = self.val_pairs.select("user_id", "business_id")
-        return self.ratings_raw.join(keys, ["user_id", "business_id"], "left_anti")
+        return self._m(self.ratings_raw.join(keys, ["user_id", "business_id"], "left_anti"))
 
     @cached_property
     def train(self) -> DataFrame:
         keys = self.val_pairs.select("user_id", "business_id")
-        return self.ratings.join(keys, ["user_id", "business_id"], "left_anti")
+        return self._m(self.ratings.join(keys, ["user_id", "business_id"], "left_anti"))
 
     @cached_property
     def review(self) -> DataFrame:
@@ -190,11 +208,11 @@ class Dataset:
 
     @cached_property
     def user(self) -> DataFrame:
-        return user_table(self.spark, self.sf_dir, ratings_raw(self.spark, self.sf_dir, "dense"))
+        return self._m(user_table(self.spark, self.sf_dir, self._raw_dense))
 
     @cached_property
     def business(self) -> DataFrame:
-        return business_table(self.spark, self.sf_dir, ratings_raw(self.spark, self.sf_dir, "dense"))
+        return self._m(business_table(self.spark, self.sf_dir, self._raw_dense))
 
     @cached_property
     def photo(self) -> DataFrame:
@@ -205,5 +223,5 @@ class Dataset:
         return event_refs(self.spark, self.sf_dir, TIP_EVENT)
 
 
-def dataset(spark: SparkSession, sf_dir: str, item: str = "dense") -> Dataset:
-    return Dataset(spark, sf_dir, item)
+def dataset(spark: SparkSession, sf_dir: str, item: str = "dense", materialize: bool = False) -> Dataset:
+    return Dataset(spark, sf_dir, item, materialize)
