@@ -57,11 +57,14 @@ def dedupe_ratings(raw: DataFrame) -> DataFrame:
     return last_by_ordinal(raw, ["user_id", "business_id"], ["stars"], [*ORDINAL, "stars"])
 
 
+def in_holdout(user="user_id", business="business_id"):
+    """The hold-out rule: a pure function of the (user, business) key."""
+    return ((F.col(user) * VAL_USER_MULT + F.col(business) * VAL_ITEM_MULT) % VAL_MOD) == 0
+
+
 def validation_pairs(ratings: DataFrame) -> DataFrame:
     """Deterministic hold-out: hashed 10% of pairs plus three cold-start rows."""
-    picked = ratings.where(
-        ((F.col("user_id") * VAL_USER_MULT + F.col("business_id") * VAL_ITEM_MULT) % VAL_MOD) == 0
-    ).select("user_id", "business_id", "stars")
+    picked = ratings.where(in_holdout()).select("user_id", "business_id", "stars")
     # One row of global minima (a 1-row aggregate), exploded into the three
     # cold-start rows: unknown user, unknown business, both unknown.
     mins = ratings.agg(F.min("user_id").alias("u"), F.min("business_id").alias("b"))
@@ -192,15 +195,17 @@ class Dataset:
     def val_pairs(self) -> DataFrame:
         return self._m(validation_pairs(self.ratings))
 
+    # ``train*`` = rows whose key is not a validation key.  The hold-out rule
+    # is a function of the key and the cold-start keys carry id -1, which no
+    # rating has, so the anti-join reduces to the complement filter (no
+    # shuffle).  The SQL oracle keeps the anti-join form and checks this.
     @cached_property
     def train_raw(self) -> DataFrame:
-        keys = self.val_pairs.select("user_id", "business_id")
-        return self._m(self.ratings_raw.join(keys, ["user_id", "business_id"], "left_anti"))
+        return self._m(self.ratings_raw.where(~in_holdout()))
 
     @cached_property
     def train(self) -> DataFrame:
-        keys = self.val_pairs.select("user_id", "business_id")
-        return self._m(self.ratings.join(keys, ["user_id", "business_id"], "left_anti"))
+        return self._m(self.ratings.where(~in_holdout()))
 
     @cached_property
     def review(self) -> DataFrame:
