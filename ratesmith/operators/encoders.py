@@ -52,6 +52,27 @@ def distinct_values(df: DataFrame, col: str | Column, name: str = "value") -> Da
     return df.select(c.alias(name)).distinct()
 
 
+def sentinel_codes_multi(df: DataFrame, cols: Sequence[str], sentinel: str = UNKNOWN,
+                         excluded: str = NONE_SENTINEL) -> dict[str, DataFrame]:
+    """W1 vocabularies of several columns from one distributed index.
+
+    Rows (column, value) are numbered in (column, value) order; a column's
+    code is its position minus the position of the column's first value.
+    """
+    vocab = None
+    for c in cols:
+        v = df.select(F.lit(c).alias("column"), F.coalesce(F.col(c), F.lit(sentinel)).alias("value"))
+        vocab = v if vocab is None else vocab.unionByName(v)
+    vocab = vocab.where(F.col("value") != F.lit(excluded)).distinct()
+    idx = consecutive_index(vocab, ["column", "value"], "pos")
+    first = idx.groupBy("column").agg(F.min("pos").alias("_first"))  # one row per column
+    coded = idx.join(F.broadcast(first), "column").select(
+        "column", "value",
+        F.when(F.col("value") == F.lit(sentinel), F.lit(-1).cast("long"))
+         .otherwise(F.col("pos") - F.col("_first")).alias("code"))
+    return {c: coded.where(F.col("column") == F.lit(c)).select("value", "code") for c in cols}
+
+
 def sentinel_codes(df: DataFrame, col: str, sentinel: str = UNKNOWN,
                    excluded: str = NONE_SENTINEL) -> DataFrame:
     """W1 vocabulary: (value, code) with code = sorted position, sentinel -> -1.
@@ -60,11 +81,7 @@ def sentinel_codes(df: DataFrame, col: str, sentinel: str = UNKNOWN,
     enumeration (so it leaves a gap) and is then coded -1; ``excluded`` is
     left out of the vocabulary.
     """
-    v = F.coalesce(F.col(col), F.lit(sentinel))
-    vocab = distinct_values(df, v, "value").where(F.col("value") != F.lit(excluded))
-    idx = consecutive_index(vocab, ["value"], "pos")
-    return idx.select("value", F.when(F.col("value") == F.lit(sentinel), F.lit(-1).cast("long"))
-                      .otherwise(F.col("pos")).alias("code"))
+    return sentinel_codes_multi(df, [col], sentinel, excluded)[col]
 
 
 def apply_codes(df: DataFrame, col: str, codes: DataFrame, out: str,

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratesmith.functions import scalars as fx
-from ratesmith.operators.encoders import apply_codes, sentinel_codes
+from ratesmith.operators.encoders import apply_codes, sentinel_codes_multi
 
 # ---------------------------------------------------------------------------
 # Entity feature tables
@@ -59,8 +59,10 @@ def business_features(business: DataFrame, log_counts: bool = False,
     City and state codes come from :func:`sentinel_codes` over the business
     table itself unless given.
     """
-    city_codes = city_codes if city_codes is not None else sentinel_codes(business, "city")
-    state_codes = state_codes if state_codes is not None else sentinel_codes(business, "state")
+    if city_codes is None or state_codes is None:
+        codes = sentinel_codes_multi(business, ["city", "state"])
+        city_codes = city_codes if city_codes is not None else codes["city"]
+        state_codes = state_codes if state_codes is not None else codes["state"]
     b = apply_codes(business, "city", city_codes, "_city_code")
     b = apply_codes(b, "state", state_codes, "_state_code")
     rc = fx.log1p_count("review_count") if log_counts else F.col("review_count").cast("double")
@@ -156,13 +158,18 @@ def business_side(business: DataFrame, review: DataFrame, photo: DataFrame | Non
 def feature_table(pairs: DataFrame, user: DataFrame, business: DataFrame, review: DataFrame,
                   photo: DataFrame | None = None, tip: DataFrame | None = None,
                   feature_set: str = "fs23", as_of: str = fx.DEFAULT_AS_OF,
-                  label: str | None = "stars", keep_ids: bool = True) -> DataFrame:
-    """D4 ``extract_features``: pairs + the ordered feature columns (+ label)."""
+                  label: str | None = "stars", keep_ids: bool = True,
+                  side: DataFrame | None = None) -> DataFrame:
+    """D4 ``extract_features``: pairs + the ordered feature columns (+ label).
+
+    ``side`` is an already built :func:`business_side` table, so train and
+    validation pairs can share one.
+    """
     cols = FEATURE_SETS[feature_set]
     log_counts = feature_set in LOG_COUNT_SETS
     biz_defaults = BUSINESS_DEFAULTS_ZERO if feature_set == "fs20" else BUSINESS_DEFAULTS_CODED
     u = user_features(user, as_of, log_counts=log_counts).select("user_id", *[c for c in USER_COLS if c in cols])
-    b = business_side(business, review, photo, tip, feature_set)
+    b = side if side is not None else business_side(business, review, photo, tip, feature_set)
     defaults = {**USER_DEFAULTS, **biz_defaults, **REVIEW_DEFAULTS, **COUNT_DEFAULTS}
     base_cols = ["user_id", "business_id"] + ([label] if label and label in pairs.columns else [])
     out = lookup_join(pairs.select(*base_cols), u, "user_id", defaults)

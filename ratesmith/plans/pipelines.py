@@ -68,17 +68,24 @@ def from_fixtures(spark: SparkSession, sf_dir: str, item: str = "dense") -> Inpu
 
 
 def features(inp: Inputs, pairs: DataFrame, feature_set: str, label: bool,
-             as_of: str = DEFAULT_AS_OF) -> DataFrame:
+             as_of: str = DEFAULT_AS_OF, side: DataFrame | None = None) -> DataFrame:
     return FT.feature_table(pairs, inp.user, inp.business, inp.review, inp.photo, inp.tip,
-                            feature_set=feature_set, as_of=as_of, label="stars" if label else None)
+                            feature_set=feature_set, as_of=as_of, label="stars" if label else None,
+                            side=side)
+
+
+def _train_val_features(inp: Inputs, feature_set: str, as_of: str) -> tuple[DataFrame, DataFrame]:
+    """Train and validation feature tables over one shared business-side table."""
+    side = FT.business_side(inp.business, inp.review, inp.photo, inp.tip, feature_set)
+    return (features(inp, inp.train_raw, feature_set, True, as_of, side),
+            features(inp, inp.val, feature_set, False, as_of, side))
 
 
 def model_based(inp: Inputs, feature_set: str = "fs7", scale: bool = False,
                 preset: str = "query", as_of: str = DEFAULT_AS_OF, **params) -> DataFrame:
     """Q1 (fs7, unscaled) and Q2 (fs23 / fs23l, min-max scaled): fit on train, predict val."""
     cols = FT.FEATURE_SETS[feature_set]
-    tr = features(inp, inp.train_raw, feature_set, True, as_of)
-    va = features(inp, inp.val, feature_set, False, as_of)
+    tr, va = _train_val_features(inp, feature_set, as_of)
     if scale:
         stats = EN.minmax_stats(tr, cols)
         tr, va = EN.minmax_scale(tr, cols, stats), EN.minmax_scale(va, cols, stats)
@@ -102,8 +109,7 @@ def tuned_model(inp: Inputs, grid: dict[str, list], feature_set: str = "fs20l",
                 k: int = 5, as_of: str = DEFAULT_AS_OF) -> tuple[DataFrame, MD.GridResult]:
     """Q5: min-max scaled features, k-fold grid search, best model predicts val."""
     cols = FT.FEATURE_SETS[feature_set]
-    tr = features(inp, inp.train_raw, feature_set, True, as_of)
-    va = features(inp, inp.val, feature_set, False, as_of)
+    tr, va = _train_val_features(inp, feature_set, as_of)
     stats = EN.minmax_stats(tr, cols)
     tr, va = EN.minmax_scale(tr, cols, stats), EN.minmax_scale(va, cols, stats)
     res = MD.grid_search(tr, cols, grid, k=k)

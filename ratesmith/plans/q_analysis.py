@@ -465,8 +465,10 @@ def q_minmax_scaled(spark, sf_dir):
     """M1: validation features scaled by the training min/max (no clipping)."""
     d = dataset(spark, sf_dir)
     cols = FT.FEATURE_SETS["fs23"]
-    tr = FT.feature_table(d.train, d.user, d.business, d.review, d.photo, d.tip, "fs23")
-    va = FT.feature_table(d.val_pairs, d.user, d.business, d.review, d.photo, d.tip, "fs23", label=None)
+    side = FT.business_side(d.business, d.review, d.photo, d.tip, "fs23")
+    tr = FT.feature_table(d.train, d.user, d.business, d.review, d.photo, d.tip, "fs23", side=side)
+    va = FT.feature_table(d.val_pairs, d.user, d.business, d.review, d.photo, d.tip, "fs23",
+                          label=None, side=side)
     return EN.minmax_scale(va, cols, EN.minmax_stats(tr, cols))
 
 
