@@ -243,6 +243,53 @@ def q_feature_correlation(spark, sf_dir):
     return PR.label_correlations(eda, PR.EDA_FEATURES, "stars")
 
 
+_MATRIX_COLS = PR.EDA_FEATURES + ("stars",)
+
+
+def _matrix_sql() -> str:
+    pairs = [(a, b) for i, a in enumerate(_MATRIX_COLS) for b in _MATRIX_COLS[i:]]
+    parts = []
+    for a, b in pairs:
+        both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
+        parts.append(f"""SELECT '{a}' AS feature_a, '{b}' AS feature_b,
+               sum(({a} - ma) * ({b} - mb)) AS sxy, sum(({a} - ma) * ({a} - ma)) AS sxx,
+               sum(({b} - mb) * ({b} - mb)) AS syy
+        FROM f_eda, (SELECT avg(CASE WHEN {both} THEN {a} END) AS ma,
+                            avg(CASE WHEN {both} THEN {b} END) AS mb FROM f_eda) m
+        WHERE {both}""")
+    union = "\n UNION ALL ".join(parts)
+    return f"""SELECT feature_a, feature_b, CASE WHEN sxx = 0 OR syy = 0 THEN CAST(NULL AS DOUBLE)
+                                   ELSE sxy / sqrt(sxx * syy) END AS corr
+    FROM ({union}) s"""
+
+
+@register("feature_correlation_matrix", _matrix_sql(), doubles=("corr",))
+def q_feature_correlation_matrix(spark, sf_dir):
+    """A11 (full matrix): pairwise correlations of the profiling features and the rating."""
+    d = dataset(spark, sf_dir)
+    eda = PR.eda_features(FT.wide_train(d.train, d.business, d.user))
+    return PR.correlation_matrix(eda, _MATRIX_COLS)
+
+
+@register("category_correlation", """
+    WITH base AS (SELECT w.user_id, w.business_id, CAST(w.stars AS DOUBLE) AS y, w.categories
+                  FROM f_wide w WHERE w.stars IS NOT NULL),
+         g AS (SELECT CAST(count(*) AS DOUBLE) AS n, sum(y) AS sy, sum(y * y) AS syy FROM base),
+         cells AS (SELECT DISTINCT b.user_id, b.business_id, b.y, trim(x) AS category
+                   FROM base b, unnest(string_split(coalesce(b.categories, ''), ',')) u(x)
+                   WHERE trim(x) <> ''),
+         per AS (SELECT category, CAST(count(*) AS DOUBLE) AS n1, sum(y) AS s1 FROM cells GROUP BY category)
+    SELECT category,
+           CASE WHEN n1 * (n - n1) <= 0 OR n * syy - sy * sy <= 0 THEN CAST(NULL AS DOUBLE)
+                ELSE (n * s1 - n1 * sy) / (sqrt(n1 * (n - n1)) * sqrt(n * syy - sy * sy)) END AS corr
+    FROM per, g""", doubles=("corr",))
+def q_category_correlation(spark, sf_dir):
+    """A11 + M2: correlation of each category indicator with the rating."""
+    d = dataset(spark, sf_dir)
+    w = FT.wide_train(d.train, d.business, d.user).select("user_id", "business_id", "stars", "categories")
+    return PR.indicator_correlations(w, ["user_id", "business_id"], "categories", "stars")
+
+
 @register("membership_years", f"""
     SELECT user_id, {_membership_sql('yelping_since')} AS years_full,
            {_membership_sql('substr(yelping_since, 1, 7)')} AS years_month,
