@@ -124,3 +124,38 @@ def test_amplify_and_clamp(spark):
     assert vals[0] == 1.0 and math.isclose(vals[1], 0.5 ** 2.5)
     df2 = spark.createDataFrame([(0.2,), (7.0,), (3.3,)], "x double")
     assert col_values(df2.select(fx.clamp("x", 1, 5).alias("c")), "c") == [1.0, 5.0, 3.3]
+
+
+def _pearson(xs, ys):
+    pts = [(x, y) for x, y in zip(xs, ys) if x is not None and y is not None]
+    mx = sum(p[0] for p in pts) / len(pts)
+    my = sum(p[1] for p in pts) / len(pts)
+    sxy = sum((x - mx) * (y - my) for x, y in pts)
+    sxx = sum((x - mx) ** 2 for x, _ in pts)
+    syy = sum((y - my) ** 2 for _, y in pts)
+    return None if sxx == 0 or syy == 0 else sxy / (sxx * syy) ** 0.5
+
+
+@pytest.mark.parametrize("with_nulls", [False, True])
+def test_correlation_matrix_both_paths(spark, with_nulls):
+    from ratesmith.operators.profile import correlation_matrix
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for i in range(60):
+        a = float(rnd.randint(0, 9))
+        b = a * 2 + rnd.random()
+        c = 5.0
+        if with_nulls and i % 7 == 0:
+            b = None
+        rows.append((a, b, c))
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {(r.feature_a, r.feature_b): r.corr for r in correlation_matrix(df, ["a", "b", "c"]).collect()}
+    cols = {"a": [r[0] for r in rows], "b": [r[1] for r in rows], "c": [r[2] for r in rows]}
+    for (fa, fb), v in got.items():
+        want = _pearson(cols[fa], cols[fb])
+        if want is None:
+            assert v is None
+        else:
+            assert v == pytest.approx(want, abs=1e-9)
+    assert len(got) == 6
