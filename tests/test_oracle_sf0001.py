@@ -7,10 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from ratesmith.plans.registry import QUERIES, oracle_strings
 from conftest import SF001
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
-SLOW = {"gbt_grid"}
 
 
 def norm(v):
@@ -27,7 +27,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle_strings()))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF001)
     rows = df.collect()
@@ -43,8 +43,8 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_docs_and_runs_without_oracle(spark):
-    qs = entry.queries()
-    no_oracle = set(qs) - set(entry.oracle_sql())
+    qs = QUERIES
+    no_oracle = set(qs) - set(oracle_strings())
     assert no_oracle <= {"gbt_fs7", "gbt_fs20", "gbt_fs23", "gbt_fs23_log", "pipeline_model",
                          "pipeline_full", "pipeline_hybrid", "gbt_grid"}
     for name, fn in qs.items():
