@@ -3,12 +3,14 @@ the whole intended table with production parameters."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratesmith.llm import embedding_dedup, simhash
+from ratesmith.llm import bpe, embedding_dedup, mixing, simhash, toxicity, urls
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -25,7 +27,12 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers import this package from where it is installed
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -42,3 +49,45 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                         "component_id")
+
+
+@register("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the rows not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = toxicity.fit(docs.filter(~held_out), labels.filter(~held_out))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@register("op4_byte_bpe")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document, and the bytes they decode to."""
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(ids, ranks).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op7_source_mix")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a 1:2:3 mix of all sources takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents"), weights=(1, 2, 3)).select(
+        "doc_id", "size", "source_size", "target", "taken", "source")
+
+
+#: Host and path rules of the url query.
+URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"),
+             ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"),
+             ("net", "/fr/", "block"))
+
+
+@register("op10_url_filter")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url by rules, else by its path template."""
+    return urls.filter_urls(table(spark, sf_dir, "pages"), URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict", "template", "purity")
