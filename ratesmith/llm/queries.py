@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratesmith.llm import bpe, embedding_dedup, mixing, simhash, toxicity, urls
+from ratesmith.llm import bpe, embedding_dedup, mixing, pii, simhash, toxicity, urls
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -91,3 +91,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url by rules, else by its path template."""
     return urls.filter_urls(table(spark, sf_dir, "pages"), URL_RULES).select(
         "page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
+@register("op5_personal_data")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data spans of every document."""
+    return pii.digest_columns(pii.find_personal_data(table(spark, sf_dir, "documents")))
