@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratesmith.llm import bpe, embedding_dedup, mixing, pii, simhash, toxicity, urls
+from ratesmith.llm import (bpe, embedding_dedup, mixing, pii, secrets, simhash, sketches, toxicity,
+                           urls)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -97,3 +98,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data spans of every document."""
     return pii.digest_columns(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
+@register("op8_paragraph_sketch")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketch fingerprint of every document, its edited text and the next."""
+    return sketches.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op9_secret_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document."""
+    return secrets.digest_columns(secrets.find_secrets(table(spark, sf_dir, "documents")))
