@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratesmith.llm import (bpe, embedding_dedup, mixing, pii, secrets, simhash, sketches, toxicity,
-                           urls)
+from ratesmith.llm import (bpe, embedding_dedup, licenses, mixing, pii, secrets, simhash, sketches,
+                           toxicity, urls)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -110,3 +110,16 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of every document."""
     return secrets.digest_columns(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
+@register("op3_licence_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families and notices of every document."""
+    found = licenses.scan_licences(table(spark, sf_dir, "documents"))
+    shown = F.transform("notices", lambda s: F.concat(
+        s["family"], F.lit(":"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string")))
+    return found.select(
+        "doc_id", F.size("notices").cast("long").alias("n_notices"),
+        F.array_join(F.array_sort(F.array_distinct("notices.family")), ",").alias("families"),
+        F.array_join(shown, ",").alias("spans"),
+        F.array_max("notices.probability").alias("probability"))
