@@ -2,30 +2,91 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is
 written as Parquet in the session's shared folder and read again as the next
-stage's ``docs``.
+stage's ``docs``.  All but the last return the columns of documents.  Rows
+with null ids or texts and repeated rows pass through every stage as its
+docstring says; an empty table gives empty results.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ratesmith.llm import simhash
+from ratesmith.llm import bpe, mixing, pii, simhash, toxicity
+from ratesmith.llm.queries import ready, token_digests
 from ratesmith.session import scratch_path
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Score from which a document is rejected, and the sources' weights in turn.
+TOXIC_FROM, WEIGHTS = 0.7, (1, 2, 3)
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each SimHash component: that with the smallest id."""
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents scored TOXIC_FROM or more by a classifier trained on all
+    labels.  Documents without a text stay."""
+    ready(spark)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.score(docs, model, carry=COLUMNS[1:])
+    return scored.filter(F.col("score") < TOXIC_FROM).select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each SimHash component: that with the smallest id.
+    Of rows with one id, and of those with no id but one text, one stays."""
+    ready(spark)
     found = simhash.near_duplicates(docs, shingle=4, max_bits=4)
-    kept = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    kept = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .select(F.col("doc_id").alias("kept")).distinct())
+    unnamed = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    once = Window.partitionBy("doc_id", unnamed).orderBy(F.xxhash64("text"))
+    return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi")
+            .withColumn("nth", F.row_number().over(once)).filter("nth = 1").select(*COLUMNS))
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace every personal data span by its kind in brackets, and count the
+    characters again.  A null text becomes empty."""
+    found = pii.find_personal_data(docs, carry=("lang", "source"))
+    kinds = {k: F.col(k) for k in pii.BASE + pii.EXTRA}
+    return (found.withColumn("text", pii.redact(F.col("text"), kinds))
+            .withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat each document as often as the mix takes it (0 to 3 times).
+
+    The mix cuts one document a source, where its target ends; that one is
+    taken if at least half of its words are.  Documents without words, of
+    which a mix takes nothing, are left out.
+    """
+    taken = mixing.mix(docs, weights=WEIGHTS)
+    # rows of one id share what was taken of them
+    shares = (taken.groupBy("doc_id").agg(F.sum("taken").alias("t"), F.sum("size").alias("s"))
+              .select(F.col("doc_id").alias("id"), F.round(F.col("t") / F.nullif("s", F.lit(0)))
+                      .cast("int").alias("times")).filter("times > 0"))
+    return (docs.join(shares, F.col("doc_id").eqNullSafe(F.col("id")))
+            .withColumn("copy", F.explode(F.sequence(F.lit(1), "times"))).select(*COLUMNS))
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every row, with their number and the hashes of the ids and
+    of the bytes they decode to."""
+    ready(spark)
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    decoded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return token_digests(decoded)
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("personal_data", redact_personal_data),
+    ("source_mix", mix_sources),
+    ("byte_bpe", encode_tokens),
+]
 
-#: No oracle: trained models and union-find have no SQL form.
+#: No oracle: a trained classifier and 64-bit XXH64 fingerprints have no SQL form.
 ORACLE_SQL = None
 
 

@@ -14,6 +14,8 @@ the distinct vote and feature patterns only (a few hundred rows at most).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -124,17 +126,18 @@ def _features(kind: Column, votes: Column) -> list[Column]:
             + [(F.get(votes, F.lit(i)) == v).cast("int") for i in range(5) for v in (1, -1)])
 
 
-def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
-                       ) -> DataFrame:
-    """Return doc_id, text and, per kind, an array of (start, end, match).
+def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       carry: Sequence[str] = ()) -> DataFrame:
+    """Return doc_id, text, the columns named in ``carry`` and, per kind, an
+    array of (start, end, match).
 
     Offsets are code points, the end exclusive.  Null texts count as empty;
-    null ids and repeated rows are kept; other columns are ignored; an empty
-    table gives an empty result.
+    null ids and repeated rows are kept; all other columns are ignored; an
+    empty table gives an empty result.
     """
     text = F.col("text")
     base = docs.select(F.col(id_col).alias("doc_id"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"), *carry)
     base = base.select("*", *[c.alias(k) for k, c in base_spans(text).items()],
                        *[c.alias(k) for k, c in extra_candidates(text).items()])
     base = base.withColumns({k: F.filter(k, lambda s: ~overlaps_any(s, [F.col(b) for b in BASE]))
@@ -154,7 +157,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         ([float(kind == k) for k in EXTRA] + [float(v == s) for v in votes for s in (1, -1)],
          model.posterior(votes), n) for kind, votes, n in patterns])
     if len(weights) == 1:
-        return base.select("doc_id", "text", *BASE, *[F.array().cast(SPAN).alias(k) for k in EXTRA])
+        return base.select("doc_id", "text", *carry, *BASE, *[F.array().cast(SPAN).alias(k) for k in EXTRA])
 
     def accepted(kind: str) -> Column:
         def good(s: Column) -> Column:
@@ -165,7 +168,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
         return F.filter(kind, good)
 
-    return base.select("doc_id", "text", *BASE, *[accepted(k).alias(k) for k in EXTRA])
+    return base.select("doc_id", "text", *carry, *BASE, *[accepted(k).alias(k) for k in EXTRA])
 
 
 def redact(text: Column, kinds: dict[str, Column]) -> Column:

@@ -31,9 +31,13 @@ def register(name: str, sql: str | None = None):
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Python workers import this package from where it is installed
+def ready(spark: SparkSession) -> None:
+    """Python workers import this package from where it is installed."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -63,15 +67,20 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def token_digests(decoded: DataFrame) -> DataFrame:
+    """Number of tokens, and hashes of the ids and of the decoded bytes."""
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @register("op4_byte_bpe")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document, and the bytes they decode to."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ids = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(ids, ranks).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    return token_digests(bpe.decode(ids, ranks))
 
 
 @register("op7_source_mix")

@@ -18,7 +18,7 @@ among unlabelled documents by a clear margin.  Whole texts are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bounds of the training set and of the feature list: the documents that are
 #: confirmed, and the unlabelled ones, of the smallest id hashes.
@@ -186,18 +187,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id",
-          text_col: str = "text") -> DataFrame:
-    """Return doc_id and score (0 to 1, higher: likelier toxic), one row per
-    input row.  Null and empty texts are scored as texts without words; null
-    ids and repeated rows are kept; other columns are ignored."""
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = source.schema["doc_id"].dataType.simpleString()
+          text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """Return doc_id, score (0 to 1, higher: likelier toxic) and the columns
+    named in ``carry``, one row per input row.  Null and empty texts are scored
+    as texts without words; null ids and repeated rows are kept; all other
+    columns are ignored."""
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"),
+                         *[F.col(c) for c in carry])
+    fields = [f for f in source.schema.fields if f.name != "_text"]
+    out = T.StructType([fields[0], T.StructField("score", T.DoubleType()), *fields[1:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rate = model.scorer()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array([rate(t.as_py()) for t in batch["text"]], pa.float64())],
-                names=["doc_id", "score"])
+            scores = pa.array([rate(t.as_py()) for t in batch["_text"]], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], scores, *batch.columns[2:]],
+                                             names=out.names)
 
-    return source.mapInArrow(run, f"doc_id {kind}, score double")
+    return source.mapInArrow(run, out)
