@@ -26,8 +26,3 @@ def last_by_ordinal(df: DataFrame, keys: Sequence[str], values: Sequence[str],
     picked = F.max(F.struct(*fields)).alias("_last")
     return (df.groupBy(*keys).agg(picked)
               .select(*keys, *[F.col(f"_last.{v}").alias(v) for v in values]))
-
-
-def dedupe_keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Drop repeated keys whose other columns are functions of the key."""
-    return df.dropDuplicates(list(keys))

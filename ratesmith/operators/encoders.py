@@ -159,22 +159,3 @@ def category_pairs(df: DataFrame, key: str, col: str = "categories") -> DataFram
     cells = df.select(key, F.explode(F.array_distinct(token_list(col))).alias("value"))
     return cells.join(vocab, "value").select(key, F.col("value").alias("category"),
                                              F.col("code").alias("category_index"))
-
-
-def category_onehot(df: DataFrame, key: str, col: str = "categories",
-                    vocab_size: int | None = None) -> DataFrame:
-    """M2 (dense form): ``key`` plus an array<double> of 0/1 per sorted label.
-
-    Only for narrow vocabularies; ``vocab_size`` is a single count.
-    """
-    pairs = category_pairs(df, key, col)
-    if vocab_size is None:
-        vocab_size = category_vocab(df, col).count()
-    present = pairs.groupBy(key).agg(F.collect_set("category_index").alias("_present"))
-    base = df.select(key).distinct().join(present, key, "left")
-    onehot = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(max(vocab_size, 1) - 1).cast("long")),
-                         lambda i: F.when(F.array_contains(F.coalesce("_present", F.array().cast("array<long>")), i),
-                                          F.lit(1.0)).otherwise(F.lit(0.0)))
-    if vocab_size == 0:
-        onehot = F.array().cast("array<double>")
-    return base.select(key, onehot.alias("categories_onehot"))

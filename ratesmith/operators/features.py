@@ -159,11 +159,12 @@ def feature_table(pairs: DataFrame, user: DataFrame, business: DataFrame, review
                   photo: DataFrame | None = None, tip: DataFrame | None = None,
                   feature_set: str = "fs23", as_of: str = fx.DEFAULT_AS_OF,
                   label: str | None = "stars", keep_ids: bool = True,
-                  side: DataFrame | None = None) -> DataFrame:
+                  side: DataFrame | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """D4 ``extract_features``: pairs + the ordered feature columns (+ label).
 
     ``side`` is an already built :func:`business_side` table, so train and
-    validation pairs can share one.
+    validation pairs can share one.  ``carry`` names columns of the pairs to
+    keep (a line ordinal, say).
     """
     cols = FEATURE_SETS[feature_set]
     log_counts = feature_set in LOG_COUNT_SETS
@@ -171,13 +172,14 @@ def feature_table(pairs: DataFrame, user: DataFrame, business: DataFrame, review
     u = user_features(user, as_of, log_counts=log_counts).select("user_id", *[c for c in USER_COLS if c in cols])
     b = side if side is not None else business_side(business, review, photo, tip, feature_set)
     defaults = {**USER_DEFAULTS, **biz_defaults, **REVIEW_DEFAULTS, **COUNT_DEFAULTS}
-    base_cols = ["user_id", "business_id"] + ([label] if label and label in pairs.columns else [])
+    base_cols = ["user_id", "business_id", *carry] + ([label] if label and label in pairs.columns else [])
     out = lookup_join(pairs.select(*base_cols), u, "user_id", defaults)
     out = lookup_join(out, b, "business_id", defaults)
     # counts come back as long; every feature is a double in the vector
     fill_missing = {c: F.lit(defaults[c]) for c in cols if c not in out.columns}
     out = out.withColumns(fill_missing) if fill_missing else out
     sel = ([F.col("user_id"), F.col("business_id")] if keep_ids else []) + \
+          [F.col(c) for c in carry] + \
           [F.coalesce(F.col(c).cast("double"), F.lit(defaults[c])).alias(c) for c in cols]
     if label and label in pairs.columns:
         sel.append(F.col(label).cast("double").alias(label))

@@ -7,11 +7,13 @@ dictionaries.  Here the same answer is one DataFrame plan:
 1. ``candidates`` (J8): requested (user, target) pairs joined with the
    user's own ratings, the target itself excluded (P9).
 2. ``needed``: the distinct (target, rated) item pairs – only what is asked.
-3. ``co-ratings`` (J9): needed pairs joined with the ratings of the target
-   (salted on the user so a hot target spreads over ``salt`` tasks), then
-   with the user's rating of the other item.  One ``groupBy(target, rated)``
-   folds them into Pearson sufficient statistics (n, Σx, Σy, Σx², Σy², Σxy),
-   partially aggregated map-side.
+3. ``co-ratings`` (J9): a self-join of the ratings on the user, each
+   unordered item pair once.  A user's ratings are dealt into blocks of about
+   ``BLOCK`` and joined block by block, so a rater of any size spreads over
+   tasks.  One ``groupBy`` of the item pair directly behind the join folds the
+   co-ratings into Pearson sufficient statistics (n, Σx, Σy, Σx², Σy², Σxy)
+   inside the join's tasks; only sums are shuffled, and then joined to the
+   needed pairs.
 4. ``similarity`` (A9, F13): Pearson from the sums; ≤1 co-rater falls back to
    ``(5 - |mean_t - mean_r|) / 5``; a zero variance gives 0.
 5. ``top-k`` (W3): ``row_number() <= k`` per (user, target) by amplified
@@ -20,7 +22,8 @@ dictionaries.  Here the same answer is one DataFrame plan:
 6. ``prediction`` (A10, F14, F15, F18): Σ w·r / Σ w, clamped to [1, 5];
    target mean when no neighbour or zero weight; 3.0 for unknown ids.
 
-With integer stars every sum is exact, so the zero-variance test is exact.
+With integer stars every sum is exact while ``n·Σx²`` stays below 2^53
+(about 19M co-raters of one pair), so the zero-variance test is exact.
 Ratings are the de-duplicated (last-wins) table; item means use every raw
 row, duplicates included, as the reference's averages do.
 """
@@ -37,8 +40,7 @@ UNKNOWN_PREDICTION = 3.0
 MAX_STARS = 5.0
 MIN_STARS, TOP_STARS = 1.0, 5.0
 TIE_DIGITS = 9
-DEFAULT_SALT = 8
-DEFAULT_HEAVY_USER = 1000  # raters above this many ratings take the pair-driven path
+BLOCK = 256  # ratings of one user that a task pairs with as many others
 
 
 def entity_means(raw: DataFrame, key: str, name: str) -> DataFrame:
@@ -57,61 +59,52 @@ def needed_item_pairs(candidates: DataFrame) -> DataFrame:
     return candidates.select("target", "rated").distinct()
 
 
-def corating_rows(needed: DataFrame, ratings: DataFrame, salt: int = DEFAULT_SALT,
-                  heavy_threshold: int = DEFAULT_HEAVY_USER) -> DataFrame:
-    """(target, rated, user_id, x, y) for every co-rater of a needed pair.
+def corating_rows(ratings: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(a, b, user_id, x, y), a < b, for every two items a user rated.
 
-    Exact, in two disjoint parts split on the rater's number of ratings:
-
-    * ordinary raters: self-join of the ratings on ``user_id`` (cost
-      Σ deg² ≤ threshold·|ratings|), kept only for needed (target, rated);
-    * heavy raters (more than ``heavy_threshold`` ratings): driven from the
-      needed pairs instead – join on the target (the ratings side salted by
-      user so a hot item spreads over ``salt`` tasks), then look up the
-      heavy rater's rating of the other item.  A hot rater therefore never
-      expands into all pairs of its own items.
+    ``ratings`` holds one row per (user, item).  A user's rows are dealt into
+    ``ceil(ratings / block)`` blocks by a hash of the item; block i meets every
+    block j >= i, each such pair under a join key of its own.
     """
-    deg = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("_deg"))
-    r = ratings.select("user_id", "business_id", "stars").join(deg, "user_id")
-    light = r.where(F.col("_deg") <= heavy_threshold)
-    heavy = r.where(F.col("_deg") > heavy_threshold)
-    targets = needed.select(F.col("target").alias("business_id")).distinct()
-    rateds = needed.select(F.col("rated").alias("business_id")).distinct()
-
-    lt = (light.join(targets, "business_id", "left_semi")
-               .select("user_id", F.col("business_id").alias("target"), F.col("stars").alias("x")))
-    lr = (light.join(rateds, "business_id", "left_semi")
-               .select("user_id", F.col("business_id").alias("rated"), F.col("stars").alias("y")))
-    by_user = (lt.join(lr, "user_id").where(F.col("target") != F.col("rated"))
-                 .join(needed, ["target", "rated"], "left_semi"))
-
-    h_t = heavy.select(F.col("business_id").alias("target"), "user_id", F.col("stars").alias("x"))
-    h_r = heavy.select(F.col("business_id").alias("rated"), "user_id", F.col("stars").alias("y"))
-    if salt > 1:
-        h_t = h_t.withColumn("_salt", F.pmod(F.xxhash64("user_id"), F.lit(salt)))
-        salted = needed.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                                  F.lit(salt - 1).cast("long"))))
-        first = salted.join(h_t, ["target", "_salt"]).drop("_salt")
-    else:
-        first = needed.join(h_t, "target")
-    by_pair = first.join(h_r, ["rated", "user_id"])
-    cols = ["target", "rated", "user_id", "x", "y"]
-    return by_user.select(*cols).unionByName(by_pair.select(*cols))
-
-
-def corated_stats(needed: DataFrame, ratings: DataFrame, salt: int = DEFAULT_SALT,
-                  heavy_threshold: int = DEFAULT_HEAVY_USER) -> DataFrame:
+    blocks = ratings.groupBy("user_id").agg(
+        F.ceil(F.count(F.lit(1)) / block).cast("long").alias("_blocks"))
+    r = (ratings.select("user_id", F.col("business_id").alias("item"), "stars")
+         .join(blocks, "user_id")
+         .withColumn("_own", F.pmod(F.xxhash64("item"), F.col("_blocks"))))
+    left = r.select("user_id", F.col("_own").alias("_i"),
+                    F.explode(F.sequence("_own", F.col("_blocks") - 1)).alias("_j"),
+                    F.col("item").alias("l"), F.col("stars").alias("lx"))
+    right = r.select("user_id", F.explode(F.sequence(F.lit(0).cast("long"), "_own")).alias("_i"),
+                     F.col("_own").alias("_j"), F.col("item").alias("r"), F.col("stars").alias("rx"))
+    # within a block each pair of items meets twice, between blocks once
+    once = F.when(F.col("_i") == F.col("_j"), F.col("l") < F.col("r")).otherwise(F.lit(True))
+    ordered = F.col("l") < F.col("r")
+    return left.join(right, ["user_id", "_i", "_j"]).where(once).select(
+        F.least("l", "r").alias("a"), F.greatest("l", "r").alias("b"), "user_id",
+        F.when(ordered, F.col("lx")).otherwise(F.col("rx")).alias("x"),
+        F.when(ordered, F.col("rx")).otherwise(F.col("lx")).alias("y"))
+
+
+def corated_stats(needed: DataFrame, ratings: DataFrame, block: int = BLOCK) -> DataFrame:
     """Pearson sufficient statistics per needed pair (pairs with none: n = 0)."""
-    rows = corating_rows(needed, ratings, salt, heavy_threshold)
-    sums = rows.groupBy("target", "rated").agg(
+    sums = corating_rows(ratings, block).groupBy("a", "b").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("x").alias("sx"), F.sum("y").alias("sy"),
         F.sum(F.col("x") * F.col("x")).alias("sxx"),
         F.sum(F.col("y") * F.col("y")).alias("syy"),
         F.sum(F.col("x") * F.col("y")).alias("sxy"),
     )
-    return needed.join(sums, ["target", "rated"], "left").fillna(
+    asked = needed.select("target", "rated", F.least("target", "rated").alias("a"),
+                          F.greatest("target", "rated").alias("b"))
+    j = asked.join(sums, ["a", "b"], "left").fillna(
         {"n": 0, "sx": 0.0, "sy": 0.0, "sxx": 0.0, "syy": 0.0, "sxy": 0.0})
+    same = F.col("target") == F.col("a")
+
+    def turned(mine: str, other: str):
+        return F.when(same, F.col(mine)).otherwise(F.col(other))
+
+    return j.select("target", "rated", "n", turned("sx", "sy").alias("sx"), turned("sy", "sx").alias("sy"),
+                    turned("sxx", "syy").alias("sxx"), turned("syy", "sxx").alias("syy"), "sxy")
 
 
 def similarity_from_stats(stats: DataFrame, item_means: DataFrame) -> DataFrame:
@@ -130,11 +123,11 @@ def similarity_from_stats(stats: DataFrame, item_means: DataFrame) -> DataFrame:
 
 
 def item_similarity(pairs: DataFrame, ratings: DataFrame, raw: DataFrame,
-                    salt: int = DEFAULT_SALT, heavy_threshold: int = DEFAULT_HEAVY_USER) -> DataFrame:
+                    block: int = BLOCK) -> DataFrame:
     """Similarity of every (target, rated) pair the requested pairs need."""
     needed = needed_item_pairs(candidate_pairs(pairs, ratings))
     means = entity_means(raw, "business_id", "item_mean")
-    return similarity_from_stats(corated_stats(needed, ratings, salt, heavy_threshold), means)
+    return similarity_from_stats(corated_stats(needed, ratings, block), means)
 
 
 def top_neighbors(candidates: DataFrame, sims: DataFrame, k: int = DEFAULT_K,
@@ -152,8 +145,7 @@ def top_neighbors(candidates: DataFrame, sims: DataFrame, k: int = DEFAULT_K,
 
 
 def predict(pairs: DataFrame, ratings: DataFrame, raw: DataFrame, k: int = DEFAULT_K,
-            power: float = AMPLIFY_POWER, salt: int = DEFAULT_SALT,
-            heavy_threshold: int = DEFAULT_HEAVY_USER) -> DataFrame:
+            power: float = AMPLIFY_POWER, block: int = BLOCK) -> DataFrame:
     """Q3: (user_id, business_id, prediction) for every row of ``pairs``.
 
     ``ratings``: de-duplicated (user_id, business_id, stars); ``raw``: every
@@ -162,7 +154,7 @@ def predict(pairs: DataFrame, ratings: DataFrame, raw: DataFrame, k: int = DEFAU
     cands = candidate_pairs(pairs, ratings)
     item_means = entity_means(raw, "business_id", "item_mean")
     sims = similarity_from_stats(
-        corated_stats(needed_item_pairs(cands), ratings, salt, heavy_threshold), item_means)
+        corated_stats(needed_item_pairs(cands), ratings, block), item_means)
     top = top_neighbors(cands, sims, k, power)
     agg = top.groupBy("user_id", "target").agg(
         F.sum(F.col("weight") * F.col("rating")).alias("num"),

@@ -99,7 +99,7 @@ _view("f_business", """
                 WHEN st.business_id % 13 = 0 THEN 'Unknown' ELSE n.n_name END AS city,
            r.r_name AS state,
            CASE WHEN st.business_id % 9 = 0 THEN NULL
-                ELSE array_to_string(t.types[1:st.business_id % 6 + 1], ', ') END AS categories,
+                ELSE array_to_string(t.types, ', ') END AS categories,
            CAST(st.business_id % 4 AS BIGINT) AS attributes_count,
            CASE WHEN st.business_id % 10 = 0 THEN 'bad'
                 ELSE CAST(s.s_acctbal / 1000 AS VARCHAR) END AS latitude,

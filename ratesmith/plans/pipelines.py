@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +38,7 @@ class Inputs:
     train_raw: DataFrame   # every training row (duplicates kept)
     train: DataFrame       # last rating per (user, business)
     val: DataFrame         # (user_id, business_id[, stars]) to predict
+    order: tuple[str, ...] = ("user_id", "business_id")  # train_raw's line order
 
 
 def _with_line_order(df: DataFrame) -> DataFrame:
@@ -57,39 +59,72 @@ def load_files(spark: SparkSession, folder: str, val_path: str) -> Inputs:
     raw = _with_line_order(RD.read_ratings(spark, p("yelp_train.csv")))
     train = last_by_ordinal(raw, ["user_id", "business_id"], ["stars"], ["_file", "_block", "_pos"])
     val = RD.read_ratings(spark, val_path)
-    return Inputs(user, business, review, photo, tip,
-                  raw.drop("_file", "_block", "_pos"), train, val)
+    return Inputs(user, business, review, photo, tip, raw, train, val, ("_file", "_block", "_pos"))
 
 
 def from_fixtures(spark: SparkSession, sf_dir: str, item: str = "dense") -> Inputs:
-    from ratesmith.sources.fixtures import dataset
+    from ratesmith.sources.fixtures import ORDINAL, dataset
     d = dataset(spark, sf_dir, item)
-    return Inputs(d.user, d.business, d.review, d.photo, d.tip, d.train_raw, d.train, d.val_pairs)
+    return Inputs(d.user, d.business, d.review, d.photo, d.tip, d.train_raw, d.train, d.val_pairs, ORDINAL)
+
+
+def write_inputs(inp: Inputs, folder: str) -> str:
+    """Write inputs in the layout that ``load_files`` reads (JSON lines, CSV
+    with header, ids as text); returns the validation file's path.  Training
+    rows go out in line order, one range of it a file."""
+    def text(df: DataFrame, *ids: str) -> DataFrame:
+        return df.withColumns({c: F.col(c).cast("string") for c in ids})
+
+    at = lambda name: os.path.join(folder, name)
+    text(inp.user, "user_id").write.json(at("user.json"))
+    text(inp.business, "business_id").write.json(at("business.json"))
+    text(inp.review, "business_id").write.json(at("review_train.json"))
+    text(inp.photo, "business_id").write.json(at("photo.json"))
+    text(inp.tip, "business_id").write.json(at("tip.json"))
+    columns = ("user_id", "business_id", "stars")
+    (text(inp.train_raw, *columns[:2]).orderBy(*inp.order, "stars").select(*columns)
+     .write.option("header", True).csv(at("yelp_train.csv")))
+    (text(inp.val, *columns[:2]).select(*columns).write.option("header", True).csv(at("yelp_val.csv")))
+    return at("yelp_val.csv")
 
 
 def features(inp: Inputs, pairs: DataFrame, feature_set: str, label: bool,
-             as_of: str = DEFAULT_AS_OF, side: DataFrame | None = None) -> DataFrame:
+             as_of: str = DEFAULT_AS_OF, side: DataFrame | None = None, carry: tuple[str, ...] = ()
+             ) -> DataFrame:
     return FT.feature_table(pairs, inp.user, inp.business, inp.review, inp.photo, inp.tip,
                             feature_set=feature_set, as_of=as_of, label="stars" if label else None,
-                            side=side)
+                            side=side, carry=carry)
 
 
-def _train_val_features(inp: Inputs, feature_set: str, as_of: str) -> tuple[DataFrame, DataFrame]:
+def _train_val_features(inp: Inputs, feature_set: str, as_of: str, carry: tuple[str, ...] = ()
+                        ) -> tuple[DataFrame, DataFrame]:
     """Train and validation feature tables over one shared business-side table."""
     side = FT.business_side(inp.business, inp.review, inp.photo, inp.tip, feature_set)
-    return (features(inp, inp.train_raw, feature_set, True, as_of, side),
+    return (features(inp, inp.train_raw, feature_set, True, as_of, side, carry),
             features(inp, inp.val, feature_set, False, as_of, side))
 
 
 def model_based(inp: Inputs, feature_set: str = "fs7", scale: bool = False,
-                preset: str = "query", as_of: str = DEFAULT_AS_OF, **params) -> DataFrame:
-    """Q1 (fs7, unscaled) and Q2 (fs23 / fs23l, min-max scaled): fit on train, predict val."""
+                preset: str | None = None, as_of: str = DEFAULT_AS_OF, **params) -> DataFrame:
+    """Q1 (fs7, unscaled) and Q2 (fs23 / fs23l, min-max scaled): fit on train, predict val.
+
+    ``preset`` defaults to the reference's size for the feature set.  The
+    training table is kept for the scaling pass and the fit.
+    """
     cols = FT.FEATURE_SETS[feature_set]
     tr, va = _train_val_features(inp, feature_set, as_of)
-    if scale:
-        stats = EN.minmax_stats(tr, cols)
-        tr, va = EN.minmax_scale(tr, cols, stats), EN.minmax_scale(va, cols, stats)
-    model = MD.fit(tr, cols, "stars", preset, **params)
+    tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted = tr
+        if scale:
+            # one row, computed before the table is released
+            row = EN.minmax_stats(tr, cols).first()
+            stats = tr.sparkSession.range(1).select(
+                *[F.lit(v).cast("double").alias(n) for n, v in row.asDict().items()])
+            fitted, va = EN.minmax_scale(tr, cols, stats), EN.minmax_scale(va, cols, stats)
+        model = MD.fit(fitted, cols, "stars", preset or MD.PRESET_OF[feature_set], **params)
+    finally:
+        tr.unpersist()
     return MD.predict(model, va)
 
 
@@ -98,27 +133,27 @@ def item_based(inp: Inputs, k: int = NB.DEFAULT_K) -> DataFrame:
     return NB.predict(inp.val, inp.train, inp.train_raw, k)
 
 
-def hybrid(inp: Inputs, preset: str = "query") -> DataFrame:
+def hybrid(inp: Inputs, preset: str | None = None) -> DataFrame:
     """Q4: item-based blended with the FS7 model by per-business alpha."""
     item = item_based(inp)
     model = model_based(inp, "fs7", preset=preset)
     return BL.blend(item, model, inp.review).select("user_id", "business_id", "prediction")
 
 
-def tuned_model(inp: Inputs, grid: dict[str, list], feature_set: str = "fs20l",
+def tuned_model(inp: Inputs, grid: dict[str, list] = MD.FULL_GRID, feature_set: str = "fs20l",
                 k: int = 5, as_of: str = DEFAULT_AS_OF) -> tuple[DataFrame, MD.GridResult]:
-    """Q5: min-max scaled features, k-fold grid search, best model predicts val."""
+    """Q5: min-max scaled features, k-fold grid search in line order, best model predicts val."""
     cols = FT.FEATURE_SETS[feature_set]
-    tr, va = _train_val_features(inp, feature_set, as_of)
+    tr, va = _train_val_features(inp, feature_set, as_of, inp.order)
     stats = EN.minmax_stats(tr, cols)
     tr, va = EN.minmax_scale(tr, cols, stats), EN.minmax_scale(va, cols, stats)
-    res = MD.grid_search(tr, cols, grid, k=k)
+    res = MD.grid_search(tr, cols, grid, k=k, order_by=[*inp.order, "user_id", "business_id", "stars"])
     return MD.predict(res.model, va), res
 
 
 def profile(inp: Inputs, as_of: str = DEFAULT_AS_OF) -> DataFrame:
     """Q6: correlation of the profiling features with the rating."""
-    eda = PR.eda_features(FT.wide_train(inp.train, inp.business, inp.user), as_of)
+    eda = PR.eda_features(inp.train_raw, inp.business, inp.user, as_of)
     return PR.label_correlations(eda, PR.EDA_FEATURES, "stars")
 
 

@@ -13,7 +13,7 @@ from ratesmith.operators import neighbors as NB
 from ratesmith.operators import profile as PR
 from ratesmith.plans.oracle_views import define_view, feature_select
 from ratesmith.plans.registry import register
-from ratesmith.sources.fixtures import dataset
+from ratesmith.sources.fixtures import ORDINAL, dataset
 from ratesmith.sources.readers import preview
 
 # ---------------------------------------------------------------------------
@@ -47,7 +47,7 @@ define_view("f_wide", """
            b.categories, b.attributes_count, b.latitude, b.longitude,
            u.average_stars, u.review_count AS u_review_count, u.fans, u.elite, u.friends,
            u.yelping_since
-    FROM f_train t LEFT JOIN f_business b ON b.business_id = t.business_id
+    FROM f_train_raw t LEFT JOIN f_business b ON b.business_id = t.business_id
     LEFT JOIN f_user u ON u.user_id = t.user_id""")
 for _c in ("state", "city"):
     define_view(f"f_wide_{_c}_codes", f"""
@@ -107,7 +107,7 @@ WIDE_COLS = ("user_id", "business_id", "stars", "b_stars", "b_review_count", "is
 
 def _wide(spark, sf_dir):
     d = dataset(spark, sf_dir)
-    w = FT.wide_train(d.train, d.business, d.user)
+    w = FT.wide_train(d.train_raw, d.business, d.user)
     return w.withColumn("attributes_count", fx.map_key_count("attributes")).select(*WIDE_COLS)
 
 
@@ -239,7 +239,7 @@ def q_null_counts(spark, sf_dir):
 def q_feature_correlation(spark, sf_dir):
     """A11 + O2: correlation of every profiling feature with the rating."""
     d = dataset(spark, sf_dir)
-    eda = PR.eda_features(FT.wide_train(d.train, d.business, d.user))
+    eda = PR.eda_features(d.train_raw, d.business, d.user)
     return PR.label_correlations(eda, PR.EDA_FEATURES, "stars")
 
 
@@ -267,7 +267,7 @@ def _matrix_sql() -> str:
 def q_feature_correlation_matrix(spark, sf_dir):
     """A11 (full matrix): pairwise correlations of the profiling features and the rating."""
     d = dataset(spark, sf_dir)
-    eda = PR.eda_features(FT.wide_train(d.train, d.business, d.user))
+    eda = PR.eda_features(d.train_raw, d.business, d.user)
     return PR.correlation_matrix(eda, _MATRIX_COLS)
 
 
@@ -275,9 +275,10 @@ def q_feature_correlation_matrix(spark, sf_dir):
     WITH base AS (SELECT w.user_id, w.business_id, CAST(w.stars AS DOUBLE) AS y, w.categories
                   FROM f_wide w WHERE w.stars IS NOT NULL),
          g AS (SELECT CAST(count(*) AS DOUBLE) AS n, sum(y) AS sy, sum(y * y) AS syy FROM base),
-         cells AS (SELECT DISTINCT b.user_id, b.business_id, b.y, trim(x) AS category
-                   FROM base b, unnest(string_split(coalesce(b.categories, ''), ',')) u(x)
-                   WHERE trim(x) <> ''),
+         cells AS (SELECT b.y, u.x AS category
+                   FROM base b, unnest(list_distinct(list_transform(
+                     string_split(coalesce(b.categories, ''), ','), lambda s: trim(s)))) u(x)
+                   WHERE u.x <> ''),
          per AS (SELECT category, CAST(count(*) AS DOUBLE) AS n1, sum(y) AS s1 FROM cells GROUP BY category)
     SELECT category,
            CASE WHEN n1 * (n - n1) <= 0 OR n * syy - sy * sy <= 0 THEN CAST(NULL AS DOUBLE)
@@ -286,7 +287,7 @@ def q_feature_correlation_matrix(spark, sf_dir):
 def q_category_correlation(spark, sf_dir):
     """A11 + M2: correlation of each category indicator with the rating."""
     d = dataset(spark, sf_dir)
-    w = FT.wide_train(d.train, d.business, d.user).select("user_id", "business_id", "stars", "categories")
+    w = FT.wide_train(d.train_raw, d.business, d.user).select("user_id", "business_id", "stars", "categories")
     return PR.indicator_correlations(w, ["user_id", "business_id"], "categories", "stars")
 
 
@@ -475,15 +476,15 @@ for _c in ("city", "state"):
     LEFT JOIN f_wide_city_codes cc ON cc.v = coalesce(w.city, 'Unknown')""")
 def q_label_encode(spark, sf_dir):
     """Sorted label codes over the merged table, 'Unknown' an ordinary class."""
-    w = _wide(spark, sf_dir).select("user_id", "business_id", "state", "city")
-    w = EN.label_encode(w, "state", "state_code")
-    w = EN.label_encode(w, "city", "city_code")
-    return w.select("user_id", "business_id", "state_code", "city_code")
+    d = dataset(spark, sf_dir)
+    places = PR.encoded_places(d.train_raw, d.business).select("business_id", "state_code", "city_code")
+    return d.train_raw.select("user_id", "business_id").join(places, "business_id").select(
+        "user_id", "business_id", "state_code", "city_code")
 
 
 def _minmax_sql():
     cols = FT.FEATURE_SETS["fs23"]
-    inner = feature_select("f_train", "fs23", label=True)
+    inner = feature_select("f_train_raw", "fs23", label=True)
     return "\n UNION ALL ".join(
         f"SELECT '{c}' AS feature, min({c}) AS min_value, max({c}) AS max_value FROM ({inner}) t{i}"
         for i, c in enumerate(cols))
@@ -493,13 +494,13 @@ def _minmax_sql():
 def q_minmax_stats(spark, sf_dir):
     """Min and max of every FS23 feature over the training pairs."""
     d = dataset(spark, sf_dir)
-    t = FT.feature_table(d.train, d.user, d.business, d.review, d.photo, d.tip, "fs23")
+    t = FT.feature_table(d.train_raw, d.user, d.business, d.review, d.photo, d.tip, "fs23")
     return EN.minmax_stats_long(t, FT.FEATURE_SETS["fs23"])
 
 
 def _scaled_sql():
     cols = FT.FEATURE_SETS["fs23"]
-    tr = feature_select("f_train", "fs23", label=True)
+    tr = feature_select("f_train_raw", "fs23", label=True)
     va = feature_select("f_val", "fs23", label=False)
     stats = ", ".join(f"min({c}) AS lo{i}, max({c}) AS hi{i}" for i, c in enumerate(cols))
     sel = ", ".join(f"coalesce(({c} - lo{i}) / NULLIF(hi{i} - lo{i}, 0), {c} - lo{i}) AS {c}"
@@ -513,7 +514,7 @@ def q_minmax_scaled(spark, sf_dir):
     d = dataset(spark, sf_dir)
     cols = FT.FEATURE_SETS["fs23"]
     side = FT.business_side(d.business, d.review, d.photo, d.tip, "fs23")
-    tr = FT.feature_table(d.train, d.user, d.business, d.review, d.photo, d.tip, "fs23", side=side)
+    tr = FT.feature_table(d.train_raw, d.user, d.business, d.review, d.photo, d.tip, "fs23", side=side)
     va = FT.feature_table(d.val_pairs, d.user, d.business, d.review, d.photo, d.tip, "fs23",
                           label=None, side=side)
     return EN.minmax_scale(va, cols, EN.minmax_stats(tr, cols))
@@ -541,10 +542,13 @@ def q_category_onehot(spark, sf_dir):
 
 
 @register("kfold", """
-    SELECT user_id, business_id, CAST(ntile(5) OVER (ORDER BY user_id, business_id) - 1 AS BIGINT) AS fold
-    FROM f_train""")
+    SELECT user_id, business_id, CAST(ntile(5) OVER (
+             ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, user_id, business_id, stars) - 1
+             AS BIGINT) AS fold
+    FROM f_train_raw""")
 def q_kfold(spark, sf_dir):
-    """Contiguous 5-fold assignment in (user, business) order (bigger folds first)."""
+    """Contiguous 5-fold assignment in line order (bigger folds first)."""
     from ratesmith.operators.models import contiguous_folds
-    t = dataset(spark, sf_dir).train.select("user_id", "business_id")
-    return contiguous_folds(t, ["user_id", "business_id"], 5)
+    t = dataset(spark, sf_dir).train_raw
+    order = [*ORDINAL, "user_id", "business_id", "stars"]
+    return contiguous_folds(t.select(*dict.fromkeys(order)), order, 5).select("user_id", "business_id", "fold")

@@ -79,8 +79,8 @@ def _feature_query(fs: str, pairs_attr: str, pairs_sql: str, label: bool):
     register(f"features_{fs}", feature_select(pairs_sql, fs, label), doubles=doubles)(fn)
 
 
-for _fs in ("fs7", "fs20", "fs23", "fs20l"):
-    _feature_query(_fs, "train", "f_train", True)
+for _fs in ("fs7", "fs20", "fs23", "fs20l", "fs23l"):
+    _feature_query(_fs, "train_raw", "f_train_raw", True)
 
 
 def _lookup_query(name: str, cols, doc: str):

@@ -61,11 +61,11 @@ def q_scan_json_fields(spark, sf_dir):
 
 @register("scan_csv", """
     SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(business_id AS VARCHAR) AS business_id, stars
-    FROM f_train""", doubles=("stars",))
+    FROM f_train_raw""", doubles=("stars",))
 def q_scan_csv(spark, sf_dir):
     """Ratings CSV with header and declared types."""
     path = scratch_path(spark, "train-csv")
-    dataset(spark, sf_dir).train.select("user_id", "business_id", "stars") \
+    dataset(spark, sf_dir).train_raw.select("user_id", "business_id", "stars") \
         .write.mode("overwrite").option("header", True).csv(path)
     return RD.read_ratings(spark, path)
 
@@ -88,13 +88,16 @@ def q_csv_min_columns(spark, sf_dir):
 
 
 @register("sink_predictions", """
-    SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(business_id AS VARCHAR) AS business_id,
-           prediction FROM f_user_mean_pred""", doubles=("prediction",))
+    SELECT CAST(v.user_id AS VARCHAR) AS user_id, CAST(v.business_id AS VARCHAR) AS business_id,
+           coalesce(m.avg_rating, 3.0) AS prediction
+    FROM f_val v LEFT JOIN (SELECT user_id, avg(stars) AS avg_rating FROM f_train_raw GROUP BY user_id) m
+      ON m.user_id = v.user_id""", doubles=("prediction",))
 def q_sink_predictions(spark, sf_dir):
     """Predictions written as CSV part files (CRLF, header) and read back."""
     d = dataset(spark, sf_dir)
     means = NB.entity_means(d.train_raw, "user_id", "prediction")
-    pred = d.val_pairs.select("user_id", "business_id").join(means, "user_id")
+    pred = (d.val_pairs.select("user_id", "business_id").join(means, "user_id", "left")
+            .fillna({"prediction": NB.UNKNOWN_PREDICTION}))
     path = scratch_path(spark, "predictions")
     write_predictions(pred, path)
     return RD.read_csv(spark, path, S.PREDICTIONS_SCHEMA)

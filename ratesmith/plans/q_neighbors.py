@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ratesmith.operators import neighbors as NB
@@ -147,15 +149,22 @@ def q_corated(spark, sf_dir):
     return NB.corated_stats(needed, d.train).select("target", "rated", F.col("n").alias("n_corated"))
 
 
-@register("corated_users_intersect", """
-    SELECT nd.target, nd.rated, a.user_id
-    FROM f_needed nd JOIN f_train a ON a.business_id = nd.target
-    JOIN f_train b ON b.business_id = nd.rated AND b.user_id = a.user_id""")
+# Item pairs whose common raters are asked for.
+NAMED_PAIRS = ((1, 2), (1, 3), (2, 7))
+
+
+@register("corated_users_intersect", "\n UNION ALL ".join(f"""
+    SELECT CAST({a} AS BIGINT) AS item_a, CAST({b} AS BIGINT) AS item_b, user_id FROM (
+      SELECT user_id FROM f_train WHERE business_id = {a}
+      INTERSECT SELECT user_id FROM f_train WHERE business_id = {b}) q{i}"""
+                                                          for i, (a, b) in enumerate(NAMED_PAIRS)))
 def q_corated_users(spark, sf_dir):
-    """U1 (bulk form): the intersection of the two rater sets, per needed pair."""
-    d = dataset(spark, sf_dir)
-    needed = NB.needed_item_pairs(NB.candidate_pairs(d.val_pairs, d.train))
-    return NB.corating_rows(needed, d.train).select("target", "rated", "user_id")
+    """Users who rated both items, by set intersection, for named item pairs."""
+    train = dataset(spark, sf_dir).train
+    parts = [NB.corated_users(train, a, b).select(
+        F.lit(a).cast("long").alias("item_a"), F.lit(b).cast("long").alias("item_b"), "user_id")
+        for a, b in NAMED_PAIRS]
+    return reduce(lambda p, q: p.unionByName(q), parts)
 
 
 @register("item_similarity", "SELECT target, rated, n, similarity FROM f_sim", doubles=("similarity",))

@@ -3,13 +3,16 @@
 The library never builds its own cluster configuration: a caller hands in a
 ``SparkSession``.  ``local_session`` exists for tests and the bench only.
 Scratch output (round-trip files, lineage cuts) goes under the folder the
-cluster names in ``spark.checkpoint.dir``; a default is set only when the
-session has none, which is the local-test case.
+cluster names in ``spark.checkpoint.dir``.  A session on this machine alone
+(master ``local[...]``) gets a local folder if it has none; any other session
+without one is an error, as executors could not read a local folder.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -58,14 +61,21 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """Return the shared checkpoint folder.
+
+    Raises ``ValueError`` if none is set on a session with executors on other
+    machines; a ``local[...]`` session gets a temporary folder, removed at exit.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="ratesmith-ckpt-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

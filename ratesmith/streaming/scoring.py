@@ -4,9 +4,9 @@ The reference is batch only (it scores one validation file per run).  This
 module adds no operator: it runs the same batch predictors on each
 micro-batch of newly arrived ``user_id,business_id`` CSV files and writes
 each batch's predictions with the same sink.  The stream's progress is kept
-in a checkpoint location under the shared checkpoint folder, so a restarted
-job resumes after the last committed batch, and the per-batch output path
-is keyed by batch id, so a replayed batch overwrites rather than duplicates.
+in the caller's checkpoint location: a job restarted with the same location
+resumes after the last committed batch, and the per-batch output path is
+keyed by batch id, so a replayed batch overwrites rather than duplicates.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ratesmith.operators import neighbors as NB
-from ratesmith.session import scratch_path
 from ratesmith.sources import schemas as S
 from ratesmith.sources.sinks import write_predictions
 
@@ -33,9 +32,12 @@ def item_predictor(train: DataFrame, train_raw: DataFrame, k: int = NB.DEFAULT_K
 
 
 def score_stream(spark: SparkSession, pairs_dir: str, out_dir: str, predictor: Predictor,
-                 checkpoint: str | None = None, trigger_once: bool = True,
+                 checkpoint: str, trigger_once: bool = True,
                  max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Score every pair file that lands in ``pairs_dir``; one output folder per batch."""
+    """Score every pair file that lands in ``pairs_dir``; one output folder per batch.
+
+    ``checkpoint`` is a shared folder of this job alone, the same on restart.
+    """
     reader = (spark.readStream.schema(S.RATINGS_CSV_SCHEMA).option("header", True))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -46,6 +48,6 @@ def score_stream(spark: SparkSession, pairs_dir: str, out_dir: str, predictor: P
         write_predictions(pred, os.path.join(out_dir, f"batch={batch_id}"))
 
     writer = (pairs.writeStream.foreachBatch(each_batch)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "score-stream")))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if trigger_once else writer.trigger(processingTime="30 seconds")
     return writer.start()

@@ -15,13 +15,13 @@ def planted(spark, n=3000):
 
 def test_gbt_beats_mean_and_is_deterministic(spark):
     df = planted(spark)
-    model = MD.fit(df, ["x1", "x2"], preset="query", maxIter=10)
+    model = MD.fit(df, ["x1", "x2"], preset="short", maxIter=10)
     pred = MD.predict(model, df).join(df.select("user_id", "stars"), "user_id")
     mse = pred.select(F.avg(F.pow(F.col("prediction") - F.col("stars"), 2))).first()[0]
     mean = df.select(F.avg("stars")).first()[0]
     base = df.select(F.avg(F.pow(F.col("stars") - F.lit(mean), 2))).first()[0]
     assert mse < 0.1 * base
-    again = MD.predict(MD.fit(df, ["x1", "x2"], preset="query", maxIter=10), df)
+    again = MD.predict(MD.fit(df, ["x1", "x2"], preset="short", maxIter=10), df)
     a = {r.user_id: r.prediction for r in MD.predict(model, df).collect()}
     b = {r.user_id: r.prediction for r in again.collect()}
     assert a == b

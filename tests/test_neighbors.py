@@ -69,13 +69,13 @@ def run(spark, train_rows, pairs, **kw):
     return {(r.user_id, r.business_id): r.prediction for r in got}
 
 
-@pytest.mark.parametrize("seed,heavy", [(1, 1000), (2, 1000), (3, 3)])
-def test_matches_brute_force(spark, seed, heavy):
+@pytest.mark.parametrize("seed,block", [(1, 256), (2, 3), (3, 1)])
+def test_matches_brute_force(spark, seed, block):
     rnd = random.Random(seed)
     rows = [(rnd.randrange(12), rnd.randrange(10), rnd.randint(1, 5)) for _ in range(150)]
     pairs = sorted({(rnd.randrange(14), rnd.randrange(12)) for _ in range(40)})
     want = brute_force(rows, pairs, k=4)
-    got = run(spark, rows, pairs, k=4, heavy_threshold=heavy, salt=3)
+    got = run(spark, rows, pairs, k=4, block=block)
     assert set(got) == set(want)
     for key in want:
         assert got[key] == pytest.approx(want[key], abs=1e-9), key

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ratesmith.plans import pipelines as PL
 from ratesmith.session import scratch_path
-from ratesmith.sources.fixtures import ORDINAL, dataset
 from ratesmith.sources.readers import read_csv
 from ratesmith.sources.schemas import PREDICTIONS_SCHEMA
 from ratesmith.sources.sinks import write_predictions
@@ -17,20 +16,8 @@ from conftest import SF001
 
 @pytest.fixture(scope="module")
 def folder(spark):
-    d = dataset(spark, SF001)
     root = scratch_path(spark, "reference-layout")
-    ids = {"user_id": F.col("user_id").cast("string"), "business_id": F.col("business_id").cast("string")}
-    d.user.withColumns({"user_id": ids["user_id"]}).write.json(os.path.join(root, "user.json"))
-    d.business.withColumns({"business_id": ids["business_id"]}).write.json(os.path.join(root, "business.json"))
-    d.review.withColumns({"business_id": ids["business_id"]}).write.json(os.path.join(root, "review_train.json"))
-    d.photo.withColumns({"business_id": ids["business_id"]}).write.json(os.path.join(root, "photo.json"))
-    d.tip.withColumns({"business_id": ids["business_id"]}).write.json(os.path.join(root, "tip.json"))
-    # one file in ordinal order, so "last line wins" equals "last by ordinal"
-    (d.train_raw.orderBy(*ORDINAL, "stars").coalesce(1)
-        .select(ids["user_id"].alias("user_id"), ids["business_id"].alias("business_id"), "stars")
-        .write.option("header", True).csv(os.path.join(root, "yelp_train.csv")))
-    d.val_pairs.select(ids["user_id"].alias("user_id"), ids["business_id"].alias("business_id"), "stars") \
-        .write.option("header", True).csv(os.path.join(root, "yelp_val.csv"))
+    PL.write_inputs(PL.from_fixtures(spark, SF001), root)
     return root
 
 
@@ -46,7 +33,7 @@ def test_item_based_from_files_matches_fixtures(spark, folder):
 
 def test_full_model_from_files_round_trips(spark, folder):
     inp = PL.load_files(spark, folder, os.path.join(folder, "yelp_val.csv"))
-    pred = PL.model_based(inp, "fs23", scale=True)
+    pred = PL.model_based(inp, "fs23", scale=True, preset="short")
     out = scratch_path(spark, "pred-out")
     write_predictions(pred, out)
     back = read_csv(spark, out, PREDICTIONS_SCHEMA)
@@ -64,7 +51,7 @@ def test_full_model_from_files_round_trips(spark, folder):
 
 def test_hybrid_from_files_in_range(spark, folder):
     inp = PL.load_files(spark, folder, os.path.join(folder, "yelp_val.csv"))
-    rows = PL.hybrid(inp).collect()
+    rows = PL.hybrid(inp, preset="short").collect()
     assert len(rows) == inp.val.select("user_id", "business_id").distinct().count()
     assert all(0.0 < r.prediction < 6.0 for r in rows)
 

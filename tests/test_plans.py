@@ -25,3 +25,19 @@ def test_feature_table_plan_prunes_columns(spark):
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
     # lineitem is scanned with a pruned schema, never all of its columns
     assert "l_extendedprice" not in p
+
+
+def test_coratings_are_summed_before_they_are_shuffled(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        d = dataset(spark, SF001)
+        needed = NB.needed_item_pairs(NB.candidate_pairs(d.val_pairs, d.train))
+        lines = plan_text(NB.corated_stats(needed, d.train)).splitlines()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    at = next(i for i, x in enumerate(lines) if "Exchange hashpartitioning(a#" in x and any(
+        "partial_sum" in y for y in lines[i:i + 3]))
+    # between that exchange and the co-rating join there is no other exchange
+    below = [x for x in lines[at + 1:]]
+    join = next(i for i, x in enumerate(below) if "Join" in x)
+    assert not any("Exchange" in x for x in below[:join])

@@ -137,7 +137,7 @@ def _pearson(xs, ys):
 
 
 @pytest.mark.parametrize("with_nulls", [False, True])
-def test_correlation_matrix_both_paths(spark, with_nulls):
+def test_correlation_matrix(spark, with_nulls):
     from ratesmith.operators.profile import correlation_matrix
     import random
     rnd = random.Random(7)
