@@ -94,11 +94,14 @@ def corated_stats(needed: DataFrame, ratings: DataFrame, block: int = BLOCK) ->
         F.sum(F.col("y") * F.col("y")).alias("syy"),
         F.sum(F.col("x") * F.col("y")).alias("sxy"),
     )
-    asked = needed.select("target", "rated", F.least("target", "rated").alias("a"),
-                          F.greatest("target", "rated").alias("b"))
+    # requested ids may be text where the ratings' are numbers
+    kind = ratings.schema["business_id"].dataType
+    target, rated = F.col("target").try_cast(kind), F.col("rated").try_cast(kind)
+    asked = needed.select("target", "rated", F.least(target, rated).alias("a"),
+                          F.greatest(target, rated).alias("b"))
     j = asked.join(sums, ["a", "b"], "left").fillna(
         {"n": 0, "sx": 0.0, "sy": 0.0, "sxx": 0.0, "syy": 0.0, "sxy": 0.0})
-    same = F.col("target") == F.col("a")
+    same = target == F.col("a")
 
     def turned(mine: str, other: str):
         return F.when(same, F.col(mine)).otherwise(F.col(other))
