@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratesmith.session import cut_lineage
@@ -21,8 +21,8 @@ from ratesmith.session import cut_lineage
 Rule = tuple[str, str, str]
 #: Segments kept apart; what is deeper shares one tail wildcard.
 MAX_DEPTH = 6
-#: Labelled urls that both a branch and its siblings need to be compared, and
-#: the standard deviations from which two rates differ.
+#: Labelled urls that a branch needs to be compared with others, and the
+#: standard deviations from which two rates differ.
 MIN_LABELLED, DIFFERENT = 5, 2.0
 #: Pseudo-labels of the prior, and the purity from which a template goes.
 PRIOR_LABELS, REJECT_PURITY = 4.0, 0.8
@@ -69,10 +69,10 @@ def path_templates(urls: DataFrame) -> DataFrame:
 
     Returns host, shape, template, labelled, blocked (of the template).
     The table of distinct shapes is worked on level by level from the root:
-    a literal or shaped segment stays apart only if its branch has labels and
-    its rate differs from that of its labelled siblings; branches alike are
-    merged under "*".  Branches without enough labels are never merged with
-    labelled ones, so that nothing is rejected on a neighbour's account.
+    a node's branches with enough labels are ordered by their rate of blocked,
+    and neighbours whose rates do not differ significantly are merged under one
+    wildcard ("*", the next such group "*1", ...).  Branches without enough
+    labels stay apart, so that nothing is rejected on a neighbour's account.
     """
     shapes = urls.groupBy("host", "shape").agg(
         F.count("blocked").alias("n"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("b"))
@@ -83,21 +83,23 @@ def path_templates(urls: DataFrame) -> DataFrame:
         state = state.withColumn("segment", segment)
         children = state.filter("segment is not null").groupBy(*node, "segment").agg(
             F.sum("n").alias("cn"), F.sum("b").alias("cb"))
-        parents = children.filter(F.col("cn") >= MIN_LABELLED).groupBy(*node).agg(
-            F.sum("cn").alias("pn"), F.sum("cb").alias("pb"), F.count(F.lit(1)).alias("branches"))
-        rate_child = F.col("cb") / F.col("cn")
-        others_n, others_b = F.col("pn") - F.col("cn"), F.col("pb") - F.col("cb")
-        pooled = (F.col("pb") + 0.5) / (F.col("pn") + 1)
-        spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("cn") + 1 / others_n))
-        alike = ((F.col("branches") > 1) & (F.col("cn") >= MIN_LABELLED)
-                 & (F.abs(rate_child - others_b / others_n) < DIFFERENT * spread))
-        merged = (children.join(parents, node, "left")
-                  .select(*node, "segment", F.coalesce(alike, F.lit(False)).alias("alike")))
+        labelled = children.filter(F.col("cn") >= MIN_LABELLED)
+        by_rate = Window.partitionBy(*node).orderBy(F.col("cb") / F.col("cn"), "segment")
+        before_n, before_b = F.lag("cn").over(by_rate), F.lag("cb").over(by_rate)
+        pooled = (F.col("cb") + before_b + 0.5) / (F.col("cn") + before_n + 1)
+        spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("cn") + 1 / before_n))
+        differs = F.col("cb") / F.col("cn") - before_b / before_n >= DIFFERENT * spread
+        kinds = (labelled.withColumn("differs", F.coalesce(differs, F.lit(False)).cast("int"))
+                 .withColumn("kind", F.sum("differs").over(by_rate))
+                 .withColumn("alike", F.count(F.lit(1)).over(Window.partitionBy(*node, "kind"))))
+        merged = kinds.filter("alike > 1").select(*node, "segment", F.concat(
+            F.lit("*"), F.when(F.col("kind") > 0, F.col("kind").cast("string")).otherwise("")
+        ).alias("wildcard"))
         state = (state.join(merged, [*node, "segment"], "left")
                  .withColumn("template", F.when(F.col("segment").isNull(), F.col("template"))
-                             .otherwise(F.concat("template", F.lit("/"), F.when(
-                                 F.col("alike"), F.lit("*")).otherwise(F.col("segment")))))
-                 .drop("segment", "alike"))
+                             .otherwise(F.concat("template", F.lit("/"),
+                                                 F.coalesce("wildcard", "segment"))))
+                 .drop("segment", "wildcard"))
         if level % 2:
             state = cut_lineage(state)
     totals = state.groupBy(*node).agg(F.sum("n").alias("labelled"), F.sum("b").alias("blocked"))
