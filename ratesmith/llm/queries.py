@@ -41,7 +41,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@register("op2_embedding_near_dedup")
+@register("op2_embedding_near_dedup", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), u AS (
+  SELECT vec_id, e FROM v
+  WHERE e IS NOT NULL AND len(e) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_sum(list_transform(e, lambda x: x * x)) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT vec_id AS x, vec_id AS y FROM v
+  UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y
+)
+SELECT v.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, c.component_id,
+       v.vec_id = c.component_id AS kept
+FROM v LEFT JOIN (SELECT x, count(*) AS n_links FROM links GROUP BY x) n ON n.x = v.vec_id
+JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) c ON c.x = v.vec_id""")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, components and kept vectors of all embeddings at cosine 0.95."""
     return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings")).select(
