@@ -114,8 +114,10 @@ def user_table(spark: SparkSession, sf_dir: str, raw: DataFrame) -> DataFrame:
     ))
 
 
-def business_table(spark: SparkSession, sf_dir: str, raw: DataFrame) -> DataFrame:
-    stats = raw.groupBy("business_id").agg(F.avg("stars").alias("stars"),
+def business_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # every line has an order, so a business's ratings need lineitem alone
+    ratings = review_table(spark, sf_dir).select("business_id", "stars")
+    stats = ratings.groupBy("business_id").agg(F.avg("stars").alias("stars"),
                                            F.count(F.lit(1)).alias("review_count"))
     li = read_table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
@@ -209,7 +211,7 @@ class Dataset:
 
     @cached_property
     def business(self) -> DataFrame:
-        return business_table(self.spark, self.sf_dir, self._raw_dense)
+        return business_table(self.spark, self.sf_dir)
 
     @cached_property
     def photo(self) -> DataFrame:
