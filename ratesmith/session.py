@@ -87,6 +87,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "ratesmith", f"{name}-{uuid.uuid4().hex}")
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder that :func:`scratch_path` named, on whatever store it is."""
+    if "/ratesmith/" not in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (written to shared storage, survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
