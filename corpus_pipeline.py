@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ratesmith.llm import bpe, mixing, pii, simhash, toxicity
 from ratesmith.llm.queries import ready, token_digests
-from ratesmith.session import scratch_path
+from ratesmith.session import remove_scratch, scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Score from which a document is rejected, and the sources' weights in turn.
@@ -91,10 +91,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table; returns the last stage's rows."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents table; returns the last stage's rows.
+
+    A stage's table is removed when the next one is written; the last stays.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"corpus-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before is not None:
+            remove_scratch(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
