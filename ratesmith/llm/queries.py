@@ -130,7 +130,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_paragraph_sketch")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketch fingerprint of every document, its edited text and the next."""
-    return sketches.fingerprint_documents(table(spark, sf_dir, "documents"))
+    found = sketches.fingerprint_documents(table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.size(c).cast("long") for c in ("removed", "added")})
 
 
 @register("op9_secret_scan")

@@ -123,31 +123,32 @@ def peel(cells_table: DataFrame, cells: int, steps: int = STEPS) -> DataFrame:
 
     Returns k, dup, pair, the digests found on the first side only (removed)
     and on the other only (added), and ``left``, the cells not peeled.  A digest
-    has one cell in each table, so a step over one table takes it out once.
+    has one cell in each table, so a step over one table takes it out once; it
+    then goes on as a row of its own (cell -1, its digest in ``item``).
     """
-    state = cells_table.filter("n != 0 or d != 0 or c != 0").withColumn("p", F.lit(0)).withColumn(
-        "q", F.lit(0))
+    zero = F.lit(0).cast("long")
+    state = cells_table.filter("n != 0 or d != 0 or c != 0").withColumn("item", zero)
     for step in range(steps):
         table = step % TABLES
         pure = ((F.col("cell") >= table * cells) & (F.col("cell") < (table + 1) * cells)
                 & (F.abs("n") == 1) & (F.xxhash64("d", F.lit(_CHECK)) == F.col("c")))
-        none = F.lit(0)
-        here = F.struct("cell", F.col("n").cast("long").alias("n"), "d", "c", "p", "q")
+        n = F.col("n").cast("long")
+        here = F.struct("cell", "item", n.alias("n"), "d", "c")
         out = F.transform(_cells(F.col("d"), cells), lambda cell: F.struct(
-            cell.alias("cell"), (-F.col("n")).cast("long").alias("n"), F.col("d").alias("d"),
-            F.col("c").alias("c"), none.alias("p"), none.alias("q")))
-        found = F.struct(F.lit(-1).alias("cell"), F.lit(0).cast("long").alias("n"),
-                         F.lit(0).cast("long").alias("d"), F.lit(0).cast("long").alias("c"),
-                         (F.col("n") > 0).cast("int").alias("p"), (F.col("n") < 0).cast("int").alias("q"))
+            cell.alias("cell"), zero.alias("item"), (-n).alias("n"), F.col("d").alias("d"),
+            F.col("c").alias("c")))
+        found = F.struct(F.lit(-1).alias("cell"), F.col("d").alias("item"), n.alias("n"),
+                         zero.alias("d"), zero.alias("c"))
         rows = F.when(pure, F.concat(F.array(here), out, F.array(found))).otherwise(F.array(here))
         state = (state.select("k", "dup", "pair", F.explode(rows).alias("r"))
-                 .groupBy("k", "dup", "pair", "r.cell")
-                 .agg(F.sum("r.n").alias("n"), F.bit_xor("r.d").alias("d"), F.bit_xor("r.c").alias("c"),
-                      F.sum("r.p").cast("int").alias("p"), F.sum("r.q").cast("int").alias("q"))
-                 .filter("n != 0 or d != 0 or c != 0 or cell = -1"))
+                 .groupBy("k", "dup", "pair", "r.cell", "r.item")
+                 .agg(F.sum("r.n").alias("n"), F.bit_xor("r.d").alias("d"), F.bit_xor("r.c").alias("c"))
+                 .filter("n != 0 or d != 0 or c != 0"))
+    recovered = F.col("cell") == -1
     return state.groupBy("k", "dup", "pair").agg(
-        F.sum("p").alias("removed"), F.sum("q").alias("added"),
-        F.count_if(F.col("cell") >= 0).alias("left"))
+        F.sort_array(F.collect_list(F.when(recovered & (F.col("n") > 0), F.col("item")))).alias("removed"),
+        F.sort_array(F.collect_list(F.when(recovered & (F.col("n") < 0), F.col("item")))).alias("added"),
+        F.count_if(~recovered).alias("left"))
 
 
 def _differences(cells_table: DataFrame) -> DataFrame:
@@ -177,7 +178,8 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     (32 hexadecimal digits of the sketch), near_edited and near_next: the share
     of paragraph digests that two sketches have in common,
     1 - differing / (digests of both), where the differing digests are those
-    that peeling recovers; and the digests removed and added by the edit.
+    that peeling recovers; and removed and added, the paragraph digests that
+    the edit takes away and brings in.
 
     Null texts count as empty; equal texts have equal sketches; repeated rows
     and rows of one id are documents of their own, ordered by their texts'
@@ -200,12 +202,12 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
         found = cut_lineage(peel(_differences(sketch_cells(retried, size)).join(
             wanted, ["k", "dup", "pair"], "left_semi"), size, steps))
         done = done.union(found.filter("left = 0"))
-    pair = [F.sum(F.when(F.col("pair") == p, F.col("removed") + F.col("added")).otherwise(0))
-            for p in (0, 1)]
+    differing = F.size("removed") + F.size("added")
     counts = done.groupBy("k", "dup").agg(
-        pair[0].alias("d_edited"), pair[1].alias("d_next"),
-        F.sum(F.when(F.col("pair") == 0, F.col("removed")).otherwise(0)).alias("removed"),
-        F.sum(F.when(F.col("pair") == 0, F.col("added")).otherwise(0)).alias("added"))
+        *[F.sum(F.when(F.col("pair") == pair, differing).otherwise(0)).alias(name)
+          for pair, name in enumerate(("d_edited", "d_next"))],
+        *[F.first(F.when(F.col("pair") == 0, F.col(name)), ignorenulls=True).alias(name)
+          for name in ("removed", "added")])
 
     def near(differing: str, other: str) -> Column:
         both = F.size("own") + F.size(other)
@@ -215,5 +217,5 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
             .select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                     near("d_edited", "edited").alias("near_edited"),
                     near("d_next", "next").alias("near_next"),
-                    F.coalesce("removed", F.lit(0)).alias("removed"),
-                    F.coalesce("added", F.lit(0)).alias("added")))
+                    *[F.coalesce(c, F.array().cast("array<bigint>")).alias(c)
+                      for c in ("removed", "added")]))

@@ -251,6 +251,9 @@ def test_licence_query_finds_every_notice_line(spark):
 
 def check_sketches(docs, cells=sketches.CELLS):
     table = sorted([(r.doc_id, r.text or "") for r in docs.collect()], reverse=True)
+    digest = {r.p: r.h for r in docs.sparkSession.createDataFrame(
+        [(p,) for p in {p for _, t in table for p in t.split("\n")}], "p string").select(
+            "p", F.xxhash64("p").alias("h")).collect()}
     got = {r.doc_id: r for r in sketches.fingerprint_documents(docs, cells=cells).collect()}
     assert len(got) == len(table)
 
@@ -265,6 +268,9 @@ def check_sketches(docs, cells=sketches.CELLS):
         edit = text[:len(text) - half] + follow[:half]
         g = got[doc_id]
         assert g.n_chars == len(text)
+        gone = set(text.split("\n")) - set(edit.split("\n"))
+        assert g.removed == sorted(digest[p] for p in gone)
+        assert len(g.added) == len(set(edit.split("\n")) - set(text.split("\n")))
         assert g.edited_sha256 == hashlib.sha256(edit.encode()).hexdigest()
         assert g.near_edited == pytest.approx(near(text, edit)) and g.near_next == pytest.approx(near(text, follow))
         prints.setdefault(text, set()).add(g.fingerprint)
