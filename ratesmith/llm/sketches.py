@@ -24,6 +24,8 @@ from ratesmith.session import cut_lineage
 TABLES, CELLS, GROWTH = 3, 16, 4
 #: Peeling steps (one table each) before a pair counts as failed.
 STEPS = 12
+#: Documents whose cells a task peels.
+DOCS_TOGETHER = 8192
 _CHECK = 99
 
 
@@ -187,7 +189,8 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     empty table gives an empty result.
     """
     sets = cut_lineage(edited_versions(docs, id_col, text_col))
-    dealt = sets.repartition("k")
+    # a number of partitions of its own: cells are many times the sets' bytes
+    dealt = sets.repartition(max(1, -(-sets.count() // DOCS_TOGETHER)), "k")
     base = sketch_cells(dealt, cells)
     prints = base.groupBy("k", "dup").agg(_fingerprint("own").alias("fingerprint"),
                                           _fingerprint("edited").alias("edited_fingerprint"))
