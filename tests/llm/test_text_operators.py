@@ -138,9 +138,10 @@ def joined(found):
 def test_personal_data_matches_brute_force(spark):
     rnd = random.Random(9)
     parts = ["a", ".", "@", "1", "2", "+", "-", " ", "(", ")", "é", "😀", "4111", "5.6.7.8", "x@y.zz",
-             "+1 (234) 555-1234", "4111 1111 1111 1111", "256", "_", "\n", "0001.2.3.4"]
+             "+1 (234) 555-1234", "4111 1111 1111 1111", "256", "_", "\n", "0001.2.3.4", "0", "10.0.0.1"]
     texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 50))) for _ in range(400)]
-    texts += ["a" * 50000, "1." * 20000, "a@" + "b." * 20000 + "c", "4 " * 20000, "+1" + "(" * 20000, ""]
+    texts += ["a" * 50000, "1." * 20000, "a@" + "b." * 20000 + "c", "4 " * 20000, "+1" + "(" * 20000, "",
+              "10.0.0.1 and 0.0.0.0", "0" * 4000 + ".0.00.255"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").unionByName(
         documents(spark).select((F.col("doc_id") + 10 ** 6).alias("doc_id"), "text"))
     text_of = {r.doc_id: r.text or "" for r in df.collect()}
