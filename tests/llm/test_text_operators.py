@@ -290,6 +290,24 @@ def test_small_sketches_fail_and_grow(spark):
     check_sketches(documents(spark).select("doc_id", "text").filter("doc_id < 40"), cells=2)
 
 
+def test_sketches_of_repeated_rows(spark, monkeypatch):
+    """All copies of a row but the last are followed by a copy."""
+    monkeypatch.setattr(sketches, "LOT", 7)
+    same, before, after = "one\ntwo\nthree four", "zero\nnine\nten", "alpha\nbeta\ntwo"
+    for others, follow in (([(3, after), (9, before)], after), ([], same)):
+        docs = spark.createDataFrame([(5, same)] * 50 + others, "doc_id long, text string")
+        got = sketches.fingerprint_documents(docs.repartition(5)).collect()
+        assert len(got) == 50 + len(others)
+        mine = [r for r in got if r.doc_id == 5]
+        half = len(same) // 2
+        shas = [hashlib.sha256((same[:len(same) - half] + t[:half]).encode()).hexdigest()
+                for t in [same] * 49 + [follow]]
+        assert sorted(r.edited_sha256 for r in mine) == sorted(shas)
+        assert len({r.fingerprint for r in mine}) == 1
+        want = 1 - len(set(same.split("\n")) ^ set(follow.split("\n"))) / 6
+        assert sorted(r.near_next for r in mine) == pytest.approx([want] + [1.0] * 49)
+
+
 def test_sketches_odd_rows(spark, odd, clashing, empty):
     columns = ["doc_id", "n_chars", "fingerprint", "near_next"]
     got = rows(sketches.fingerprint_documents(odd).select(*columns))
