@@ -92,8 +92,9 @@ def edited_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .withColumn("k2", F.xxhash64(F.lit(2), "doc_id", no_id, "text")))
     key = ["k", "k2"]
     links = neighbours(rows.groupBy(*key, "doc_id", "n").agg(F.count(F.lit(1)).alias("copies")))
-    # the one partitioning by the key serves the window and the joins
-    once = rows.withColumn("nth", F.row_number().over(Window.partitionBy(*key).orderBy("doc_id")))
+    # the one partitioning by the key serves the window and the joins; n in the
+    # order keeps it in both uses of the shuffled texts, so that these are one
+    once = rows.withColumn("nth", F.row_number().over(Window.partitionBy(*key).orderBy("doc_id", "n")))
     own = once.filter("nth = 1").join(links.select(*key, "copies", "prev"), key)
     half = F.floor(F.col("n") / 2).cast("int")
     given = own.select(
