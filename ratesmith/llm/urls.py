@@ -6,6 +6,9 @@ that look like numbers or ids become wildcards by their shape, sibling
 branches whose labelled verdicts do not differ statistically are merged into
 one wildcard, level by level, and a template is rejected when the share of
 blocked among its labelled urls, smoothed towards the share of all, is high.
+A template without enough labels is judged by its nearest ancestor on the
+host that has them, else by the longest beginning of its shape that has them
+over all hosts; roots say nothing about a path and are left out.
 """
 
 from __future__ import annotations
@@ -19,8 +22,6 @@ from ratesmith.session import cut_lineage
 
 #: (host, path, verdict): a rule fits its host and all subdomains.
 Rule = tuple[str, str, str]
-#: Segments kept apart; what is deeper shares one tail wildcard.
-MAX_DEPTH = 6
 #: Labelled urls that a branch needs to be compared with others, and the
 #: standard deviations from which two rates differ.
 MIN_LABELLED, DIFFERENT = 5, 2.0
@@ -55,30 +56,54 @@ def shape(path: Column) -> Column:
     """Array of a path's segments; numbers, long hexadecimals and long mixes of
     letters and digits become wildcards that keep a file ending."""
     ending = r"(\.[a-z]{1,5})?$"
-    marked = F.transform(F.split(F.regexp_replace(path, "^/", ""), "/", -1), lambda s: (
+    return F.transform(F.split(F.regexp_replace(path, "^/", ""), "/", -1), lambda s: (
         F.when(s.rlike(r"^[0-9]+" + ending), F.regexp_replace(s, r"^[0-9]+", "<n>"))
         .when(s.rlike(r"^[0-9a-f-]{12,}" + ending), F.regexp_replace(s, r"^[0-9a-f-]+", "<h>"))
         .when((F.length(s) >= 16) & s.rlike("[0-9]") & s.rlike("[A-Za-z]"), F.lit("<id>"))
         .otherwise(s)))
-    return F.when(F.size(marked) > MAX_DEPTH, F.concat(
-        F.slice(marked, 1, MAX_DEPTH), F.array(F.lit("<more>")))).otherwise(marked)
+
+
+def _deepest(shapes: DataFrame, keys: Sequence[str], least: int) -> int:
+    """The largest depth that ``least`` labelled urls of one group reach; no
+    node below it has so many labels."""
+    deeper = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(F.desc("depth"))
+    # a row per group and depth
+    depths = (shapes.filter("n > 0").groupBy(*keys, F.size("shape").alias("depth"))
+              .agg(F.sum("n").alias("n")).withColumn("n", F.sum("n").over(deeper)))
+    return depths.filter(F.col("n") >= least).agg(F.max("depth")).first()[0] or 0
+
+
+def _backed_off(nodes: DataFrame, keys: Sequence[str], depth: int, name: str) -> DataFrame:
+    """Labels of the deepest ancestor with MIN_LABELLED of them, the node itself
+    included, for nodes (keys, segments, n, b): struct ``name`` (level, n, b)."""
+    levels = nodes.filter(F.size("segments") > 0).withColumn("level", F.explode(F.sequence(
+        F.lit(1), F.least(F.size("segments"), F.lit(max(depth, 1)))))).withColumn(
+        "beginning", F.array_join(F.slice("segments", F.lit(1), F.col("level")), "/"))
+    labels = levels.filter("n > 0").groupBy(*keys, "level", "beginning").agg(
+        F.sum("n").alias("ln"), F.sum("b").alias("lb")).filter(F.col("ln") >= MIN_LABELLED)
+    return (levels.join(labels, [*keys, "level", "beginning"]).groupBy(*keys, "segments").agg(
+        F.max(F.struct("level", F.col("ln").alias("n"), F.col("lb").alias("b"))).alias(name)))
 
 
 def path_templates(urls: DataFrame) -> DataFrame:
     """Templates of urls (host, shape, blocked: 1, 0 or null).
 
-    Returns host, shape, template, labelled, blocked (of the template).
+    Returns host, shape, template, labelled, blocked: of the template, or of
+    what it is judged by if it has too few labels.
     The table of distinct shapes is worked on level by level from the root:
     a node's branches with enough labels are ordered by their rate of blocked,
     and neighbours whose rates do not differ significantly are merged under one
     wildcard ("*", the next such group "*1", ...).  Branches without enough
-    labels stay apart, so that nothing is rejected on a neighbour's account.
+    labels stay apart and are judged by an ancestor or across hosts.
     """
     shapes = urls.groupBy("host", "shape").agg(
         F.count("blocked").alias("n"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("b"))
+    shapes = cut_lineage(shapes)
     state = shapes.withColumn("template", F.lit(""))
     node = ["host", "template"]
-    for level in range(MAX_DEPTH + 1):
+    # deeper, no node has two branches with enough labels
+    compared = _deepest(shapes, ["host"], 2 * MIN_LABELLED)
+    for level in range(compared):
         segment = F.get("shape", F.lit(level))
         state = state.withColumn("segment", segment)
         children = state.filter("segment is not null").groupBy(*node, "segment").agg(
@@ -102,17 +127,30 @@ def path_templates(urls: DataFrame) -> DataFrame:
                  .drop("segment", "wildcard"))
         if level % 2:
             state = cut_lineage(state)
-    totals = state.groupBy(*node).agg(F.sum("n").alias("labelled"), F.sum("b").alias("blocked"))
-    return state.select("host", "shape", "template").join(totals, node)
+    rest = F.slice("shape", F.lit(compared + 1), F.greatest(F.size("shape") - compared, F.lit(0)))
+    state = cut_lineage(state.withColumn("template", F.when(F.size(rest) > 0, F.concat(
+        "template", F.lit("/"), F.array_join(rest, "/"))).otherwise(F.col("template"))))
+    depth = _deepest(shapes, [], MIN_LABELLED)
+    templates = state.groupBy(*node).agg(F.sum("n").alias("n"), F.sum("b").alias("b")).withColumn(
+        "segments", F.split(F.substr("template", F.lit(2)), "/", -1))
+    on_host = templates.join(_backed_off(templates, ["host"], depth, "near"), ["host", "segments"], "left")
+    everywhere = _backed_off(shapes.groupBy(F.col("shape").alias("segments")).agg(
+        F.sum("n").alias("n"), F.sum("b").alias("b")), [], depth, "far").withColumnRenamed("segments", "shape")
+    judged = F.when(F.col("n") >= MIN_LABELLED, F.struct("n", "b")).otherwise(F.coalesce(
+        *[F.when(F.col(c).isNotNull(), F.struct(F.col(c)["n"].alias("n"), F.col(c)["b"].alias("b")))
+          for c in ("near", "far")], F.struct("n", "b")))
+    return (state.select("host", "shape", "template").join(on_host, node).join(everywhere, "shape", "left")
+            .withColumn("judged", judged).select("host", "shape", "template", F.col("judged")["n"].alias("labelled"),
+                                                 F.col("judged")["b"].alias("blocked")))
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id",
                 url_col: str = "url") -> DataFrame:
-    """Return page_id, host, path, rule, verdict, template, purity: a row per row.
+    """Return page_id, host, path, rule, verdict, template, purity, labelled: a row per row.
 
     ``verdict`` is the longest fitting rule's, else block for a template whose
-    smoothed purity reaches REJECT_PURITY on MIN_LABELLED labels or more, else
-    allow.  Null urls and urls without "://" have empty host and path, fit no
+    smoothed purity reaches REJECT_PURITY on MIN_LABELLED labels or more, its
+    own, an ancestor's or its shape's over all hosts (``labelled``), else allow.  Null urls and urls without "://" have empty host and path, fit no
     rule and are judged like others (host ""); repeated rows are kept; other
     columns are ignored; an empty table gives an empty result.
     """
@@ -129,8 +167,9 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id"
         "purity", (F.col("blocked") + PRIOR_LABELS * F.col("prior"))
         / (F.col("labelled") + PRIOR_LABELS))
     rejected = (F.col("labelled") >= MIN_LABELLED) & (F.col("purity") >= REJECT_PURITY)
-    templates = templates.select("host", "shape", "template", "purity", rejected.alias("rejected"))
+    templates = templates.select("host", "shape", "template", "purity", "labelled",
+                                 rejected.alias("rejected"))
     return judged.join(templates, ["host", "shape"], "left").select(
         "page_id", "host", "path", "rule",
         F.coalesce("ruled", F.when(F.col("rejected"), "block").otherwise("allow")).alias("verdict"),
-        "template", "purity")
+        "template", "purity", "labelled")

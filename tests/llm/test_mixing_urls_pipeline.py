@@ -117,6 +117,34 @@ def test_templates_reject_by_purity(spark):
     assert [r.template for r in merged] == ["/*1/<n>"]  # spam and shop are alike, news (kind 0) differs
 
 
+def test_labels_reach_unruled_urls(spark):
+    """By an ancestor on the host, else by the shape over all hosts."""
+    rules = (("a.org", "/x/spam", "block"), ("a.org", "/y/", "allow"), ("b.org", "/deal/", "block"))
+    pages = ([f"http://a.org/x/spam{i}/" for i in "bcdefghijk"] + [f"http://a.org/y/{i}" for i in range(9)]
+             + [f"http://b.org/deal/{i}" for i in range(30)]
+             + ["http://a.org/x/other", "http://c.org/deal/77", "http://c.org/y/5", "http://c.org/z"])
+    table = spark.createDataFrame(list(enumerate(pages)), "page_id long, url string")
+    got = {(r.host + r.path): (r.verdict, r.labelled) for r in
+           urls.filter_urls(table, rules).filter("rule is null").collect()}
+    assert got == {"a.org/x/other": ("block", 10), "c.org/deal/77": ("block", 30),
+                   "c.org/y/5": ("allow", 9), "c.org/z": ("allow", 0)}
+
+
+def test_pages_without_rule_are_judged_by_labels(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    bare = urls.filter_urls(pages, URL_RULES).filter("rule is null")
+    assert not bare.filter(F.col("labelled") >= urls.MIN_LABELLED).isEmpty()
+
+
+def test_deep_paths_stay_apart(spark):
+    deep = "http://site.org/" + "a/" * 9
+    rules = (("site.org", "/" + "a/" * 9 + "spam/", "block"), ("site.org", "/" + "a/" * 9 + "news/", "allow"))
+    pages = [f"{deep}{kind}/{i}" for kind in ("spam", "news") for i in range(30)]
+    table = spark.createDataFrame(list(enumerate(pages)), "page_id long, url string")
+    got = {(r.verdict, r.template) for r in urls.filter_urls(table, rules).collect()}
+    assert got == {("block", "/a" * 9 + "/spam/<n>"), ("allow", "/a" * 9 + "/news/<n>")}
+
+
 @pytest.fixture(scope="module")
 def folder(spark):
     """A documents table of odd rows, and labels."""
