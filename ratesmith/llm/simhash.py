@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratesmith.llm.components import connected_components
@@ -38,7 +38,9 @@ HASHES_AT_ONCE = 1 << 14
 BANDS = ((0, 11), (11, 11), (22, 10))
 #: Grid entries of a cell that one block holds, and pairs compared at a time.
 BLOCK_ROWS, PAIRS_AT_ONCE = 4096, 1 << 20
-ROWS_AT_ONCE = 1 << 17
+#: Probes that meet a block, in blocks, and rows that a Python task holds
+#: before it looks for links.
+PROBE_BLOCKS, ROWS_AT_ONCE = 8, 1 << 17
 _LOW = np.uint64(0x5555555555555555)
 
 
@@ -156,20 +158,31 @@ def _meet(task: np.ndarray, probe: np.ndarray, fps: np.ndarray, max_bits: int
 
 
 def fingerprint_links(distinct: DataFrame, max_bits: int = 4,
-                      block_rows: int = BLOCK_ROWS) -> DataFrame:
+                      block_rows: int = BLOCK_ROWS, rows_at_once: int = ROWS_AT_ONCE) -> DataFrame:
     """Links (a, b) that connect all distinct fingerprints (column fp) within
     ``max_bits`` of each other; a forest per task, so some links of a larger
-    group are left out, but none that its connection needs."""
+    group are left out, but none that its connection needs.  A cell's homes are
+    cut into blocks of ``block_rows`` and its probes into such of PROBE_BLOCKS
+    times that; a task larger than ``rows_at_once`` meets its probes in turns."""
     if not 0 <= max_bits // len(BANDS) <= 1:
         raise ValueError("the grid looks one step around a cell: max_bits 0 to 5")
     entries = distinct.select("fp").mapInArrow(_entries, "cell long, probe boolean, fp long")
-    blocks = F.ceil(F.count(F.lit(1)) / block_rows).cast("int")
-    large = (entries.filter(~F.col("probe")).groupBy("cell").agg(blocks.alias("blocks"))
-             .filter("blocks > 1"))
+
+    def blocks(rows: Column, size: int) -> Column:
+        return F.greatest(F.ceil(F.count(F.when(rows, 1)) / size), F.lit(1)).cast("int")
+
+    large = (entries.groupBy("cell").agg(
+        blocks(~F.col("probe"), block_rows).alias("home_blocks"),
+        blocks(F.col("probe"), PROBE_BLOCKS * block_rows).alias("probe_blocks"))
+        .filter("home_blocks > 1 or probe_blocks > 1"))
+    one = F.lit(1)
     dealt = (entries.join(large, "cell", "left")
-             .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-             .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("long"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .withColumn("own", F.when(F.col("probe"), F.coalesce("probe_blocks", one))
+                         .otherwise(F.coalesce("home_blocks", one)))
+             .withColumn("others", F.when(F.col("probe"), F.coalesce("home_blocks", one))
+                         .otherwise(F.coalesce("probe_blocks", one)))
+             .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("own")).cast("long"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
              .select((F.xxhash64("cell", F.when(F.col("probe"), F.col("other").cast("long"))
                                  .otherwise(F.col("own")),
                                  F.when(F.col("probe"), F.col("own"))
@@ -184,8 +197,12 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = 4,
             nonlocal held, rows
             task, probe, fps = (np.concatenate(c) for c in zip(*held, strict=True))
             cut = len(task) if last else int(np.searchsorted(task, task[-1], "left"))
-            held = [(task[cut:], probe[cut:], fps[cut:])]
-            rows = len(task) - cut
+            if cut:
+                held = [(task[cut:], probe[cut:], fps[cut:])]
+                rows = len(task) - cut
+            else:  # all of one task: its homes stay for the probes to come
+                held = [(task[~probe], probe[~probe], fps[~probe])]
+                cut, rows = len(task), 0
             a, b = _meet(task[:cut], probe[:cut], fps[:cut], max_bits)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
@@ -193,7 +210,7 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = 4,
             held.append((batch["task"].to_numpy(), batch["probe"].to_numpy(zero_copy_only=False),
                          batch["fp"].to_numpy()))
             rows += batch.num_rows
-            if rows >= ROWS_AT_ONCE:
+            if rows >= rows_at_once:
                 yield from whole(last=False)
         if rows:
             yield from whole(last=True)

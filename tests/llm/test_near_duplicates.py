@@ -85,6 +85,24 @@ def test_every_close_pair_is_connected(spark, block):
     assert components(fps, found) == components(fps, links)
 
 
+@pytest.mark.parametrize("block", [4096, 16])
+def test_tasks_larger_than_held_rows(spark, block):
+    """Fingerprints alike in two bands: one task is many times what is held."""
+    rng = np.random.default_rng(7)
+    fps = sorted(set((rng.integers(0, 2 ** 19, 1500, dtype=np.int64) << 44).tolist()) | {1, 1 << 43})
+    table = spark.createDataFrame([(f,) for f in fps], "fp long")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        found = [(r.a, r.b) for r in simhash.fingerprint_links(table, 4, block, rows_at_once=50).collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    bits = np.array(fps)
+    near = np.bitwise_count(bits[:, None] ^ bits[None, :]) <= 4
+    links = [(fps[i], fps[j]) for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True)]
+    assert components(fps, found) == components(fps, links)
+
+
 def test_lower_bound_never_exceeds_hamming():
     rng = np.random.default_rng(1)
     a, b = rng.integers(0, 2 ** 63, (2, 5000), dtype=np.uint64)
