@@ -37,7 +37,7 @@ _ASSIGNED = (r"^(?:(?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x2
              r"([A-Za-z0-9+/_.=-]+)$")
 _ACCESS = r"AKIA[A-Z0-9]{16,}+"
 _HEX = r"[0-9a-f]{24,}+"
-_TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,200}+(?![A-Za-z0-9+/_=-])"
+_TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+(?![A-Za-z0-9+/_=-])"
 
 
 def base_spans(text: Column) -> dict[str, Column]:

@@ -216,6 +216,17 @@ def test_secrets_match_brute_force(spark):
     assert got[len(texts) - 2].spans == "random:4:28" and got[len(texts) - 1].spans == ""
 
 
+def test_long_tokens_are_scored(spark):
+    rnd = random.Random(11)
+    chars = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    long = "".join(rnd.choice(chars) for _ in range(5000))
+    plain = ("ordinary-words-of-a-page-" * 201)[:4999] + "1"
+    df = spark.createDataFrame([(1, f"a {long} b"), (2, f"a {plain} b")], "doc_id long, text string").unionByName(
+        documents(spark).select((F.col("doc_id") + 10 ** 6).alias("doc_id"), "text"))
+    got = {r.doc_id: r.spans for r in secrets.digest_columns(secrets.find_secrets(df)).filter("doc_id < 3").collect()}
+    assert got == {1: "random:2:5002", 2: ""}
+
+
 def test_secrets_odd_rows(odd, clashing, empty):
     got = rows(secrets.digest_columns(secrets.find_secrets(odd)))
     assert got == rows(secrets.digest_columns(secrets.find_secrets(clashing))) and len(got) == odd.count()
