@@ -1,11 +1,13 @@
 """Licence notices: a sparse word n-gram classifier over paragraphs.
 
-Features of a paragraph (a line) are the word pairs and triples that occur in
+A paragraph is a line, or a window of consecutive lines without an empty one
+between them, for notices that are wrapped.  Its features are the word pairs and triples that occur in
 a list of licence templates.  A multinomial logistic regression is trained on
 templates, whole and damaged, against an unknown class of paragraphs from the
 documents; its temperature is fitted on samples left out, so that unknown is
-calibrated.  A family that it predicts is confirmed by comparison with that
-family's templates: enough of one template's n-grams must be there.
+calibrated.  A family that it predicts is confirmed by comparison with the
+templates: enough of one of its own's n-grams must be there, and no smaller a
+share than of any other family's, as sibling licences differ in a few words.
 
 A paragraph without any template n-gram has the bias alone as its score, which
 is unknown; so only the few with one are scored.  Everything runs inside the
@@ -26,6 +28,9 @@ from ratesmith.llm.spans import let, running_before
 UNKNOWN = "unknown"
 #: Licence families and notices that name them (fixed values).
 TEMPLATES: tuple[tuple[str, str], ...] = (
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the "
+                 "terms of the GNU Affero General Public License as published by the Free Software "
+                 "Foundation, either version 3 of the License, or (at your option) any later version."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use "
                    "this file except in compliance with the License."),
@@ -40,10 +45,21 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
                      "International License."),
+    ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the "
+                "Eclipse Public License 2.0"),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the "
+                "terms of the GNU General Public License as published by the Free Software Foundation; "
+                "either version 2 of the License, or (at your option) any later version."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the "
                 "terms of the GNU General Public License as published by the Free Software Foundation, "
                 "either version 3 of the License, or (at your option) any later version."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+            "without fee is hereby granted"),
+    ("LGPL", "This library is free software; you can redistribute it and/or modify it under the terms "
+             "of the GNU Lesser General Public License as published by the Free Software Foundation"),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
@@ -58,6 +74,9 @@ MAX_UNKNOWN, COPIES = 2_000, 24
 STEPS, RATE, RIDGE = 400, 0.2, 1e-3
 #: Calibrated probability, and share of a template's n-grams, that a family needs.
 MIN_PROBABILITY, MIN_CONTAINED = 0.5, 0.6
+#: Share of a template's n-grams that a window's lines must hold, each by
+#: itself, before it is looked at: lines of two words keep about a quarter.
+MIN_APART = 0.2
 
 
 def _grams(words: Sequence[str]) -> set[str]:
@@ -72,13 +91,21 @@ def _words(text: str) -> list[str]:
 #: n-grams of each template, and all of them: the model's features.
 TEMPLATE_GRAMS = tuple((family, frozenset(_grams(_words(text)))) for family, text in TEMPLATES)
 VOCABULARY = tuple(sorted(set().union(*[grams for _, grams in TEMPLATE_GRAMS])))
+#: Words of the longest template: what a window holds after its first line.
+LONGEST = max(len(_words(text)) for _, text in TEMPLATES)
+_NOTICES = "array<struct<start:int,end:int,family:string,probability:double>>"
+
+
+def _strings(values: Sequence[str]) -> Column:
+    """Constant array of strings without commas."""
+    return F.split(F.lit(",".join(values)), ",")
 
 
 def line_grams(line: Column) -> Column:
     """The line's distinct word pairs and triples that are features; triples
     are looked for only behind a pair, of which every triple has one."""
     words = F.filter(F.split(F.lower(line), "[^a-z0-9]+"), lambda w: w != "")
-    known = F.array(*[F.lit(g) for g in VOCABULARY])
+    known = _strings(VOCABULARY)
 
     def joined(w: Column, n: int) -> Column:
         out = F.slice(w, F.lit(1), F.greatest(F.size(w) - n + 1, F.lit(0)))
@@ -143,11 +170,11 @@ def train(unknown: Sequence[Sequence[str]]) -> LicenceModel:
 
 def _best(grams: Column, model: LicenceModel) -> Column:
     """(family, probability) of a paragraph's features; unknown if that wins."""
-    known = F.array(*[F.lit(g) for g in VOCABULARY])
+    known = _strings(VOCABULARY)
     classes = (*FAMILIES, UNKNOWN)
 
     def score(hits: Column, c: int) -> Column:
-        weights = F.array(*[F.lit(round(float(v), 5)) for v in model.weights[:, c]])
+        weights = _strings([f"{v:.5f}" for v in model.weights[:, c]]).cast("array<double>")
         z = F.aggregate(hits, F.lit(float(model.bias[c])), lambda t, i: t + F.get(weights, i))
         return z / model.temperature
 
@@ -161,20 +188,56 @@ def _best(grams: Column, model: LicenceModel) -> Column:
             (1 / total).alias("probability")))))
 
 
+def _contained(grams: Column, template: frozenset[str]) -> Column:
+    return F.size(F.array_intersect(grams, _strings(sorted(template))))
+
+
 def _confirmed(family: Column, grams: Column) -> Column:
-    """Does the paragraph hold enough of one of the family's templates?"""
-    ok = F.lit(False)
-    for name, template in TEMPLATE_GRAMS:
-        shared = F.size(F.array_intersect(grams, F.array(*[F.lit(g) for g in sorted(template)])))
-        ok = ok | ((family == name) & (shared >= MIN_CONTAINED * len(template)))
-    return ok
+    """How many n-grams of the family's best template the paragraph holds; null
+    if they are too few, or a smaller share than of another family's."""
+    shares = F.array(*[F.struct(
+        (_contained(grams, template) / len(template)).alias("share"), F.lit(len(template)).alias("size"),
+        F.lit(name).alias("family")) for name, template in TEMPLATE_GRAMS])
+    return let(shares, lambda all_: let(
+        F.array_max(F.filter(all_, lambda t: t["family"] == family)), lambda own: F.when(
+            (own["share"] >= MIN_CONTAINED) & ~F.exists(all_, lambda t: t["share"] > own["share"]),
+            F.round(own["share"] * own["size"]).cast("int"))))
+
+
+def _windows(lines: Column, grams: Column, starts: Column, free: Column) -> Column:
+    """(first line, lines, start, end, grams) of all windows of two lines or
+    more that begin at a free line with features, hold free lines only (not
+    empty, no notice) and whose lines between first and last are short of
+    LONGEST words."""
+    words = F.transform(lines, lambda t: F.size(F.filter(F.split(F.lower(t), "[^a-z0-9]+"), lambda w: w != "")))
+
+    def promising(i: Column, k: Column) -> Column:
+        held = F.array_distinct(F.flatten(F.slice(grams, i + 1, k)))
+        return let(held, lambda g: F.when(F.size(g) < 2, False).otherwise(F.greatest(
+            *[_contained(g, t) / len(t) for _, t in TEMPLATE_GRAMS]) >= MIN_APART))
+
+    def of(i: Column, w: Column) -> Column:
+        reach = F.aggregate(
+            F.slice(w, i + 2, F.lit(LONGEST + 1)), F.struct(F.lit(0).alias("k"), F.lit(0).alias("n"), F.lit(True).alias("on")),
+            lambda a, n: let(a["on"] & (a["n"] < LONGEST) & (n > 0) & F.get(free, i + 1 + a["k"]), lambda go: F.struct(
+                F.when(go, a["k"] + 1).otherwise(a["k"]).alias("k"), (a["n"] + n).alias("n"), go.alias("on"))))["k"]
+        return let(reach, lambda k: F.when((k < 1) | ~promising(i, k + 1), F.array().cast("array<int>")).otherwise(
+            F.transform(F.sequence(F.lit(2), k + 1), lambda x: x.cast("int"))))
+
+    firsts = F.filter(F.sequence(F.lit(0), F.size(lines) - 1),
+                      lambda i: F.get(free, i) & (F.size(F.get(grams, i)) > 0))
+    return let(words, lambda w: F.flatten(F.transform(firsts, lambda i: F.transform(of(i, w), lambda k: F.struct(
+        i.alias("line"), k.alias("lines"), F.get(starts, i).alias("start"),
+        (F.get(starts, i + k - 1) + F.length(F.get(lines, i + k - 1))).alias("end"),
+        line_grams(F.array_join(F.slice(lines, i + 1, k), " ")).alias("grams"))))))
 
 
 def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Return doc_id and notices: an array of (start, end, family, probability).
 
-    One entry per line that is a licence notice; offsets are code points, the
-    end exclusive.  Null texts count as empty; null ids and repeated rows are
+    One entry per line, or window of other lines, that is a licence notice; of
+    windows that overlap, the one with most of its template, then the shortest.
+    Offsets are code points, the end exclusive.  Null texts count as empty; null ids and repeated rows are
     kept; other columns are ignored; an empty table gives an empty result.
     """
     lines = (docs.select(F.col(id_col).alias("doc_id"),
@@ -185,27 +248,44 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             .groupBy("grams").agg(F.count(F.lit(1)).alias("n")))
     strange = F.lit(True)
     for _, template in TEMPLATE_GRAMS:
-        strange = strange & (F.size(F.array_intersect("grams", F.array(
-            *[F.lit(g) for g in sorted(template)]))) < MIN_CONTAINED * len(template))
+        strange = strange & (F.size(F.array_intersect("grams", _strings(sorted(template)))) < MIN_CONTAINED * len(template))
     unknown = [r["grams"] for r in some.filter(strange).orderBy(F.xxhash64("grams"), "grams")
                .limit(MAX_UNKNOWN).toLocalIterator()]
     model = train(unknown)
 
     def judge(s: Column) -> Column:
         best = F.when(F.size(s["grams"]) > 0, let(_best(s["grams"], model), lambda b: F.when(
-            (b["family"] != UNKNOWN) & (b["probability"] >= MIN_PROBABILITY)
-            & _confirmed(b["family"], s["grams"]), b)))
-        return let(best, lambda b: F.when(b.isNotNull(), F.struct(
-            s["start"].alias("start"), (s["start"] + s["n"]).alias("end"),
-            b["family"].alias("family"), b["probability"].alias("probability"))))
-
+            (b["family"] != UNKNOWN) & (b["probability"] >= MIN_PROBABILITY), b)))
+        return let(best, lambda b: F.when(b.isNotNull(), let(_confirmed(b["family"], s["grams"]), lambda c: F.when(
+            c.isNotNull(), F.struct(s["start"].alias("start"), s["end"].alias("end"), b["family"].alias("family"),
+                                    b["probability"].alias("probability"), c.alias("shared"))))))
+
+    def plain(found: Column) -> Column:
+        return F.transform(found, lambda s: F.struct(
+            s["start"].alias("start"), s["end"].alias("end"), s["family"].alias("family"),
+            s["probability"].alias("probability")))
+
+    def strongest(found: Column) -> Column:
+        return F.filter(found, lambda s: ~F.exists(found, lambda o: (
+            (o["start"] < s["end"]) & (s["start"] < o["end"])
+            & ((o["shared"] > s["shared"]) | ((o["shared"] == s["shared"]) & (
+                (o["end"] - o["start"] < s["end"] - s["start"])
+                | ((o["end"] - o["start"] == s["end"] - s["start"]) & (o["start"] < s["start"]))))))))
+
+    none = F.array().cast(_NOTICES)
     sizes = F.transform("lines", lambda p: F.length(p) + 1)
-    placed = F.filter(F.zip_with(
-        F.zip_with(running_before(sizes), sizes, lambda a, n: F.struct(
-            a.alias("start"), (n - 1).alias("n"))), F.col("grams"),
-        lambda p, g: F.struct(p["start"].alias("start"), p["n"].alias("n"), g.alias("grams"))),
-        lambda s: F.size(s["grams"]) > 0)
     any_hit = F.exists("grams", lambda g: F.size(g) > 0)
-    return lines.select("doc_id", F.when(any_hit, F.filter(
-        F.transform(placed, judge), lambda s: s.isNotNull())).otherwise(F.array().cast(
-            "array<struct<start:int,end:int,family:string,probability:double>>")).alias("notices"))
+    alone = F.when(any_hit, F.zip_with(F.zip_with("starts", "lines", lambda a, t: F.struct(
+        a.alias("start"), (a + F.length(t)).alias("end"))), F.col("grams"), lambda p, g: judge(F.struct(
+            p["start"].alias("start"), p["end"].alias("end"), g.alias("grams")))))
+    free = F.transform("alone", lambda a: a.isNull())
+    apart = let(F.array_distinct(F.flatten(F.zip_with("grams", "alone", lambda g, a: F.when(
+        a.isNull(), g).otherwise(F.slice(g, 1, 0))))), lambda g: F.greatest(
+            *[_contained(g, t) / len(t) for _, t in TEMPLATE_GRAMS]) >= MIN_APART)
+    wrapped = F.when(any_hit, F.when(apart, let(free, lambda f: let(
+        F.filter(F.transform(_windows(F.col("lines"), F.col("grams"), F.col("starts"), f), judge),
+                 lambda s: s.isNotNull()), lambda found: plain(strongest(found))))))
+    return (lines.withColumn("starts", F.when(any_hit, running_before(sizes))).withColumn("alone", alone)
+            .withColumn("wrapped", F.coalesce(wrapped, none))
+            .select("doc_id", F.coalesce(F.array_sort(F.concat(plain(F.filter(
+                "alone", lambda s: s.isNotNull())), "wrapped")), none).alias("notices")))

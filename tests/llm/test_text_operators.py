@@ -250,6 +250,22 @@ def test_licences(spark, odd, clashing, empty):
     assert licenses.scan_licences(odd).count() == odd.count() and licenses.scan_licences(empty).count() == 0
 
 
+def test_wrapped_and_sibling_licences(spark):
+    gpl = ("This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU "
+           "{}General Public License as published by\n# the Free Software Foundation, either version {} of the "
+           "License, or\n# (at your option) any later version.")
+    texts = ["Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and "
+             "associated documentation files, to deal\nin the Software without restriction",
+             gpl.format("", 3), gpl.format("", 2), gpl.format("Affero ", 3),
+             gpl.format("", 2).replace("\n#", ""), gpl.format("Lesser ", 3).replace("\n#", "").replace("program", "library")]
+    texts.append("Some words of the first line.\n\n" + texts[0] + "\n\nand others é")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(n.start, n.end, n.family) for n in r.notices] for r in licenses.scan_licences(df).collect()}
+    assert [[n[2] for n in got[i]] for i in range(7)] == [
+        ["MIT"], ["GPL-3.0"], ["GPL-2.0"], ["AGPL-3.0"], ["GPL-2.0"], ["LGPL"], ["MIT"]]
+    assert got[0] == [(0, len(texts[0]), "MIT")] and got[6] == [(31, 31 + len(texts[0]), "MIT")]
+
+
 def test_licence_query_finds_every_notice_line(spark):
     lines = {"Apache-2.0": "Licensed under the Apache License, Version 2.0.", "MIT": "Released under the MIT License.",
              "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
