@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratesmith.llm import (bpe, embedding_dedup, licenses, mixing, pii, secrets, simhash, sketches,
-                           toxicity, urls)
+from ratesmith.llm import (bpe, collocations, decontamination, embedding_dedup, filter_audit, licenses,
+                           mixing, pii, secrets, simhash, sketches, toxicity, urls)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -33,7 +33,9 @@ _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__
 
 def ready(spark: SparkSession) -> None:
     """Python workers import this package from where it is installed."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, _ROOT]))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -151,3 +153,133 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.array_sort(F.array_distinct("notices.family")), ",").alias("families"),
         F.array_join(shown, ",").alias("spans"),
         F.array_max("notices.probability").alias("probability"))
+
+
+@register("op11_benchmark_decontamination", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), bw AS (
+  SELECT DISTINCT item, least(len(ws), 10) AS k,
+         ws[i:i + least(len(ws), 10) - 1] AS w
+  FROM (SELECT item, ws, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS i FROM b WHERE len(ws) > 0)
+), dw AS (
+  SELECT row, i, k, ws[i:i + k - 1] AS w
+  FROM (SELECT row, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+        FROM d, (SELECT DISTINCT k FROM bw) WHERE len(ws) >= k)
+), hit AS (SELECT row, i, k, item FROM dw JOIN bw USING (k, w)
+), pos AS (
+  SELECT row, count(DISTINCT p) AS n_hit FROM (SELECT row, unnest(range(i, i + k)) AS p FROM hit) GROUP BY row
+), its AS (
+  SELECT row, count(DISTINCT item) AS n_items,
+         sha256(string_agg(DISTINCT item, ',' ORDER BY item)) AS items_sha256 FROM hit GROUP BY row
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (row) LEFT JOIN its USING (row)""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in benchmark passages, and the items."""
+    found = decontamination.contamination(table(spark, sf_dir, "documents"),
+                                          table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"))
+
+
+@register("op12_phrase_collocations", r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p
+), g AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+        FROM w, (SELECT unnest(range(1, 5)) AS k) WHERE len(ws) >= k)
+), f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL
+), t AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang
+), c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 30
+), cut AS (
+  SELECT c.lang, c.phrase, c.k, c.a, j, array_to_string(ws[1:j], ' ') AS lp,
+         array_to_string(ws[j + 1:], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+), s AS (
+  SELECT cut.lang, cut.phrase, cut.k, cut.a, j, l.f AS l, r.f AS r,
+         (2000000::HUGEINT * cut.a) // (l.f + r.f) AS score
+  FROM cut JOIN f l ON l.lang = cut.lang AND l.phrase = lp AND l.k = j
+  JOIN f r ON r.lang = cut.lang AND r.phrase = rp AND r.k = cut.k - j
+), low AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), inner_of AS (
+  SELECT DISTINCT lang, a, array_to_string(ws[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i
+        FROM (SELECT *, unnest(range(2, k)) AS m FROM c WHERE k > 2))
+), kept AS (
+  SELECT * FROM low WHERE NOT EXISTS (
+    SELECT 1 FROM inner_of i WHERE i.lang = low.lang AND i.phrase = low.phrase
+      AND 100::HUGEINT * i.a >= 80::HUGEINT * low.a)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+       n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN t USING (lang) WHERE rank <= 2000""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 strongest phrases of 2 to 4 words."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@register("op13_filter_interaction_audit", r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), l AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+         max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id
+), m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CASE WHEN len(ws) < 50 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+  FROM d LEFT JOIN l USING (doc_id)
+), cell AS (
+  SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL
+), f AS (
+  SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(f, bit)
+), o AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order,
+         [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), s AS (
+  SELECT filter_order, step, bits[step] AS bit,
+         coalesce(list_sum(bits[1:step - 1]), 0)::INTEGER AS before
+  FROM o, (SELECT unnest(range(1, 6)) AS step)
+), r AS (
+  SELECT part, filter_order, step, bit,
+         sum(CASE WHEN mask & before = 0 AND mask & bit = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & before <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cell, s GROUP BY ALL
+)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+       good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM r""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of five filters per source, order and step."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
