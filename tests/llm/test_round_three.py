@@ -224,8 +224,8 @@ def brute_audit(doc_rows, labels):
     for doc_id, text, _ in doc_rows:
         if doc_id is not None:
             by_text[text or ""].append(doc_id)
-    good = {d for d, q, _ in labels if q == 1}
-    toxic = {d for d, _, t in labels if t == 1}
+    good = {d for d, q, _ in labels if q == 1 and d is not None}
+    toxic = {d for d, _, t in labels if t == 1 and d is not None}
     fails = []
     for doc_id, text, part in doc_rows:
         t = text or ""
