@@ -13,15 +13,17 @@ from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Classes of bytes.
 WORD, GAP, BREAK = 0, 1, 2
 #: Bytes of texts that are hashed at a time.
 BLOCK_BYTES = 1 << 20
-#: Bits of a bitmap: at least, for each entry, and at most (16 MiB).
-LEAST_BITS, BITS_EACH, MOST_BITS = 15, 16, 27
+#: Bits of a bitmap: at least 2^20, 16 for each entry, and at most 2^27
+#: (16 MiB).  Each hash sets PROBES of them; they are gathered in buckets of
+#: 2^15, as Spark's bitmap aggregate does.
+LEAST_BITS, BITS_EACH, MOST_BITS, PROBES, BUCKET_BITS = 20, 16, 27, 4, 15
 
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
@@ -147,26 +149,36 @@ def blocks(texts: Sequence[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.nd
 
 
 def bitmap(table: DataFrame, hash_col: str) -> np.ndarray:
-    """Bitmap of 64-bit hashes as bytes, built in the cluster.
+    """Bloom filter of 64-bit hashes as bytes, built in the cluster.
 
-    It has BITS_EACH bits a row but never more than 2^MOST_BITS, so what
-    reaches the driver and the executors stays below 16 MiB however long the
-    table is; a fuller bitmap only lets more false candidates through.
+    It never has more than 2^MOST_BITS bits, so what reaches the driver and
+    the executors stays below 16 MiB however long the table is; a fuller one
+    only lets more false candidates through.
     """
     rows = table.count()
     log2 = min(MOST_BITS, max(LEAST_BITS, (BITS_EACH * rows).bit_length()))
-    slot: Column = F.shiftrightunsigned(hash_col, 64 - log2)
-    parts = (table.select(slot.alias("slot"))
-             .groupBy(F.shiftright("slot", LEAST_BITS).alias("bucket"))
-             .agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND(2**LEAST_BITS - 1)).alias("bits")))
+    low = F.col(hash_col).bitwiseAND(F.lit(0xFFFFFFFF))
+    step = F.shiftrightunsigned(hash_col, 32).bitwiseOR(F.lit(1))
+    slots = F.array(*[(low + i * step).bitwiseAND(F.lit(2**log2 - 1)) for i in range(PROBES)])
+    parts = (table.select(F.explode(slots).alias("slot"))
+             .groupBy(F.shiftright("slot", BUCKET_BITS).alias("bucket"))
+             .agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND(F.lit(2**BUCKET_BITS - 1))).alias("bits")))
     out = np.zeros(2**log2 // 8, np.uint8)
-    for row in parts.toLocalIterator():
-        at = row.bucket * 2**LEAST_BITS // 8
-        out[at:at + 2**LEAST_BITS // 8] = np.frombuffer(row.bits, np.uint8)
+    size = 2**BUCKET_BITS // 8
+    for row in parts.collect():  # at most 2^(MOST_BITS - BUCKET_BITS) rows
+        out[row.bucket * size:(row.bucket + 1) * size] = np.frombuffer(row.bits, np.uint8)
     return out
 
 
 def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which hashes may be in the bitmap; none that is in it is missed."""
-    slot = hashes >> np.uint64(64 - (len(bits) * 8).bit_length() + 1)
-    return (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
+    found = np.zeros(len(hashes), bool)
+    last = np.uint64(len(bits) * 8 - 1)
+    at, rest = np.arange(len(hashes)), hashes
+    for i in range(PROBES):  # each probe only looks at what passed the one before
+        slot = ((rest & np.uint64(0xFFFFFFFF))
+                + np.uint64(i) * ((rest >> np.uint64(32)) | np.uint64(1))) & last
+        passed = np.flatnonzero((bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1)
+        at, rest = at[passed], rest[passed]
+    found[at] = True
+    return found

@@ -205,6 +205,16 @@ def test_hat_trie_counts(burst, spill):
     assert bool(spilled) == (spill < 1000)
 
 
+def test_bitmap_holds_all_and_little_else(spark):
+    rnd = np.random.default_rng(5)
+    hashes = rnd.integers(0, 2**64, 70_000, np.uint64)
+    table = spark.createDataFrame([(int(h),) for h in hashes.view(np.int64)], "h long")
+    bits = word_arrays.bitmap(table, "h")
+    assert word_arrays.in_bitmap(bits, hashes).all()
+    assert word_arrays.in_bitmap(bits, rnd.integers(0, 2**64, 100_000, np.uint64)).mean() < 0.01
+    assert not word_arrays.in_bitmap(word_arrays.bitmap(table.limit(0), "h"), hashes).any()
+
+
 def test_word_arrays_cut_long_texts(monkeypatch):
     monkeypatch.setattr(word_arrays, "BLOCK_BYTES", 7)
     classes = word_arrays.byte_classes(b" \n")
