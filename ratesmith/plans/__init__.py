@@ -3,4 +3,5 @@
 
 def load_all() -> None:
     """Import every query module so its queries register themselves."""
-    from ratesmith.plans import q_analysis, q_features, q_io, q_models, q_neighbors  # noqa: F401
+    from ratesmith.plans import (  # noqa: F401
+        q_analysis, q_boosting, q_features, q_io, q_models, q_neighbors)

@@ -20,6 +20,7 @@ from ratesmith.operators import blend as BL
 from ratesmith.operators import encoders as EN
 from ratesmith.operators import evaluate as EV
 from ratesmith.operators import features as FT
+from ratesmith.operators import boosting as BO
 from ratesmith.operators import models as MD
 from ratesmith.operators import neighbors as NB
 from ratesmith.operators import profile as PR
@@ -151,6 +152,32 @@ def tuned_model(inp: Inputs, grid: dict[str, list] = MD.FULL_GRID, feature_set:
     return MD.predict(res.model, va), res
 
 
+def _scaled_features(inp: Inputs, feature_set: str, as_of: str, carry: tuple[str, ...] = ()
+                     ) -> tuple[DataFrame, DataFrame]:
+    """Min-max scaled train and validation features (M1, fitted on train)."""
+    cols = FT.FEATURE_SETS[feature_set]
+    tr, va = _train_val_features(inp, feature_set, as_of, carry)
+    stats = EN.minmax_stats(tr, cols)
+    return EN.minmax_scale(tr, cols, stats), EN.minmax_scale(va, cols, stats)
+
+
+def penalised_model(inp: Inputs, feature_set: str = "fs23", params: BO.Params = BO.PENALISED["final"],
+                    as_of: str = DEFAULT_AS_OF) -> DataFrame:
+    """Q2 with the reference's leaf penalties: fit on scaled train rows, predict val."""
+    tr, va = _scaled_features(inp, feature_set, as_of)
+    return BO.predict(BO.fit(tr, FT.FEATURE_SETS[feature_set], params), va)
+
+
+def penalised_search(inp: Inputs, grid: dict[str, list] = BO.FULL_GRID, feature_set: str = "fs20l",
+                     k: int = 5, as_of: str = DEFAULT_AS_OF) -> tuple[DataFrame, BO.SearchResult]:
+    """Q5 with the reference's whole grid, penalties and all: every candidate
+    scored on k folds in line order, the best one predicts val."""
+    tr, va = _scaled_features(inp, feature_set, as_of, inp.order)
+    folded = MD.contiguous_folds(tr, [*inp.order, "user_id", "business_id", "stars"], k)
+    found = BO.staged_search(folded, FT.FEATURE_SETS[feature_set], grid, "fold", k)
+    return BO.predict(found.model, va), found
+
+
 def profile(inp: Inputs, as_of: str = DEFAULT_AS_OF) -> DataFrame:
     """Q6: correlation of the profiling features with the rating."""
     eda = PR.eda_features(inp.train_raw, inp.business, inp.user, as_of)
