@@ -30,16 +30,19 @@ row, duplicates included, as the reference's averages do.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratesmith.functions.scalars import AMPLIFY_POWER, amplify, clamp
+from ratesmith.session import cut_lineage
 
 DEFAULT_K = 20
 UNKNOWN_PREDICTION = 3.0
 MAX_STARS = 5.0
 MIN_STARS, TOP_STARS = 1.0, 5.0
 TIE_DIGITS = 9
+# bits of the needed pairs' bitmap: for each pair, at least, at most (powers of 2)
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 16, 26
 BLOCK = 256  # ratings of one user that a task pairs with as many others
 
 
@@ -85,9 +88,53 @@ def corating_rows(ratings: DataFrame, block: int = BLOCK) -> DataFrame:
         F.when(ordered, F.col("rx")).otherwise(F.col("lx")).alias("y"))
 
 
-def corated_stats(needed: DataFrame, ratings: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Pearson sufficient statistics per needed pair (pairs with none: n = 0)."""
-    sums = corating_rows(ratings, block).groupBy("a", "b").agg(
+def _slots(bits: int) -> list[Column]:
+    """Places of the item pair (a, b) in a bitmap of ``bits`` bits, a power of two."""
+    h = F.xxhash64("a", "b")
+    return [(F.shiftrightunsigned(h, s)).bitwiseAND(F.lit(bits - 1)) for s in (0, 21, 37)]
+
+
+def pair_bitmap(pairs: DataFrame) -> tuple[DataFrame, int]:
+    """Bloom filter of item pairs (a, b): one row ``words`` (64 bits each), and
+    its number of bits, about BITS_EACH a pair and MOST_BITS at most (8 MiB),
+    so it may be broadcast however many pairs there are."""
+    wanted = BITS_EACH * pairs.count()
+    bits = 1 << min(MOST_BITS, max(LEAST_BITS, (wanted - 1).bit_length() if wanted else 0))
+    words = (pairs.select(F.explode(F.array(*_slots(bits))).alias("slot"))
+             .groupBy(F.expr("slot div 64").alias("id"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("word")))
+    return (pairs.sparkSession.range(bits // 64).join(words, "id", "left")
+            .agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("word", F.lit(0)).alias("word"))))
+                 .alias("w")).select(F.col("w.word").alias("words"))), bits
+
+
+def maybe_needed(rows: DataFrame, bitmap: DataFrame, bits: int) -> DataFrame:
+    """The rows whose pair may be in the bitmap; none that is in it is lost."""
+    hit = F.lit(True)
+    for slot in _slots(bits):
+        hit = hit & (F.getbit(F.get("words", (F.shiftright(slot, 6)).cast("int")),
+                              slot.bitwiseAND(F.lit(63)).cast("int")) == 1)
+    # one row, of a size that its number of bits bounds
+    return rows.crossJoin(F.broadcast(bitmap)).where(hit).drop("words")
+
+
+def corated_stats(needed: DataFrame, ratings: DataFrame, block: int = BLOCK,
+                  pruned: bool = True) -> DataFrame:
+    """Pearson sufficient statistics per needed pair (pairs with none: n = 0).
+
+    Co-ratings of pairs that nobody asked for are dropped in the task that
+    joins them, by a bitmap of the needed pairs, before any sum is taken or
+    shuffled; the few that pass by chance fall out of the last join.
+    """
+    rows = corating_rows(ratings, block)
+    if pruned:
+        # read twice: for the bitmap and for the last join
+        needed = cut_lineage(needed.select("target", "rated"))
+        kind = ratings.schema["business_id"].dataType
+        asked = [F.col(c).try_cast(kind) for c in ("target", "rated")]
+        rows = maybe_needed(rows, *pair_bitmap(needed.select(
+            F.least(*asked).alias("a"), F.greatest(*asked).alias("b")).dropna().distinct()))
+    sums = rows.groupBy("a", "b").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("x").alias("sx"), F.sum("y").alias("sy"),
         F.sum(F.col("x") * F.col("x")).alias("sxx"),

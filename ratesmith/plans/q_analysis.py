@@ -291,6 +291,41 @@ def q_category_correlation(spark, sf_dir):
     return PR.indicator_correlations(w, ["user_id", "business_id"], "categories", "stars")
 
 
+def _onehot_sql() -> str:
+    numbers = "\n UNION ALL ".join(f"""SELECT 'number' AS kind, category AS feature_a, '{f}' AS feature_b,
+          CASE WHEN n1 * (n - n1) <= 0 OR q <= 0 THEN CAST(NULL AS DOUBLE)
+               ELSE n * s1 / (sqrt(n1 * (n - n1)) * sqrt(n * q)) END AS corr
+        FROM (SELECT category, CAST(count(*) AS DOUBLE) AS n1, sum({f} - m) AS s1
+              FROM f_eda JOIN cat USING (business_id), (SELECT avg({f}) AS m FROM f_eda)
+              WHERE {f} IS NOT NULL GROUP BY category),
+             (SELECT CAST(count(*) AS DOUBLE) AS n, sum(({f} - m) ** 2) AS q
+              FROM f_eda, (SELECT avg({f}) AS m FROM f_eda) WHERE {f} IS NOT NULL)""" for f in _MATRIX_COLS)
+    return f"""
+    WITH cat AS (SELECT DISTINCT business_id, trim(u.x) AS category
+                 FROM (SELECT DISTINCT business_id, categories FROM f_wide) w,
+                      unnest(string_split(coalesce(categories, ''), ',')) u(x) WHERE trim(u.x) <> ''),
+    c AS (SELECT r.business_id, r.w, cat.category
+          FROM (SELECT business_id, CAST(count(*) AS DOUBLE) AS w FROM f_eda GROUP BY business_id) r
+          JOIN cat USING (business_id)),
+    one AS (SELECT category, sum(w) AS n1 FROM c GROUP BY category),
+    tot AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM f_eda),
+    ab AS (SELECT x.category AS a, y.category AS b, sum(x.w) AS nab
+           FROM c x JOIN c y ON x.business_id = y.business_id AND x.category < y.category GROUP BY ALL)
+    SELECT 'label' AS kind, a AS feature_a, b AS feature_b,
+           CASE WHEN oa.n1 * (n - oa.n1) <= 0 OR ob.n1 * (n - ob.n1) <= 0 THEN CAST(NULL AS DOUBLE)
+                ELSE (n * nab - oa.n1 * ob.n1) / (sqrt(oa.n1 * (n - oa.n1)) * sqrt(ob.n1 * (n - ob.n1))) END AS corr
+    FROM ab JOIN one oa ON oa.category = a JOIN one ob ON ob.category = b, tot
+    UNION ALL {numbers}"""
+
+
+@register("onehot_correlation", _onehot_sql(), doubles=("corr",))
+def q_onehot_correlation(spark, sf_dir):
+    """A11 + M2: correlations of one-hot categories with each other and with every number."""
+    d = dataset(spark, sf_dir)
+    eda = PR.eda_features(d.train_raw, d.business, d.user)
+    return PR.onehot_correlations(eda, EN.category_pairs(d.business, "business_id"), "business_id", _MATRIX_COLS)
+
+
 @register("membership_years", f"""
     SELECT user_id, {_membership_sql('yelping_since')} AS years_full,
            {_membership_sql('substr(yelping_since, 1, 7)')} AS years_month,

@@ -109,3 +109,27 @@ def test_single_corater_fallback(spark):
     s = NB.similarity_from_stats(NB.corated_stats(pairs, raw),
                                  NB.entity_means(raw, "business_id", "item_mean")).first()
     assert s.similarity == pytest.approx(0.6)
+
+
+def test_pair_bitmap_keeps_needed_pairs_and_few_others(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    pairs = spark.range(3000).select((F.col("id") % 100).alias("a"), (F.col("id") + 200).alias("b"))
+    bitmap, bits = NB.pair_bitmap(pairs)
+    assert bits == 1 << 16 and bitmap.count() == 1
+    assert NB.maybe_needed(pairs, bitmap, bits).count() == 3000
+    others = spark.range(20000).select(F.col("id").alias("a"), (F.col("id") + 10**6).alias("b"))
+    assert NB.maybe_needed(others, bitmap, bits).count() < 200
+    none, bits = NB.pair_bitmap(pairs.limit(0))
+    assert NB.maybe_needed(pairs, none, bits).count() == 0
+
+
+def test_pruned_sums_are_those_of_all_pairs(spark):
+    rnd = random.Random(4)
+    ratings = spark.createDataFrame(
+        [(u, b, float(rnd.randrange(1, 6))) for u in range(120) for b in rnd.sample(range(60), 12)],
+        "user_id long, business_id long, stars double")
+    needed = spark.createDataFrame([(str(rnd.randrange(60)), str(rnd.randrange(60, 70) - 10)) for _ in range(80)]
+                                   + [("none", "1"), (None, "2")], "target string, rated string").distinct()
+    both = [sorted(map(tuple, NB.corated_stats(needed, ratings, 4, pruned).collect()), key=repr)
+            for pruned in (True, False)]
+    assert both[0] == both[1] and any(r[2] > 0 for r in both[0])

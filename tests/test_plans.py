@@ -41,3 +41,17 @@ def test_coratings_are_summed_before_they_are_shuffled(spark):
     below = [x for x in lines[at + 1:]]
     join = next(i for i, x in enumerate(below) if "Join" in x)
     assert not any("Exchange" in x for x in below[:join])
+
+
+def test_coratings_that_nobody_needs_are_dropped_before_the_sums(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        d = dataset(spark, SF001)
+        needed = NB.needed_item_pairs(NB.candidate_pairs(d.val_pairs, d.train))
+        lines = plan_text(NB.corated_stats(needed, d.train)).splitlines()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    partial = next(i for i, x in enumerate(lines) if "Aggregate" in x and "partial_sum(x" in x)
+    prune = next(i for i, x in enumerate(lines) if "BroadcastNestedLoopJoin" in x and "words" in x
+                 or "Filter" in x and "words" in x)
+    assert partial < prune < next(i for i, x in enumerate(lines) if "Join" in x and "user_id" in x)
