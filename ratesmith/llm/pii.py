@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratesmith.llm.spans import SPAN, join_spans, locate, overlaps_any
+from ratesmith.llm.spans import SPAN, blocks_of, count_before, join_spans, let, locate, overlaps_any, piece_of
 from ratesmith.llm.weak_supervision import estimate_reliabilities, fit_logistic
 
 BASE = ("email", "ip", "card", "phone")
@@ -89,12 +89,12 @@ def extra_candidates(text: Column) -> dict[str, Column]:
             "iban": locate(text, _IBAN, text.rlike("[A-Z]{2}[0-9]{2}"))}
 
 
-def _votes(kind: str, text: Column, span: Column) -> Column:
+def _votes(kind: str, blocks: Column, span: Column) -> Column:
     """Votes (1 yes, -1 no, 0 abstain) of five labelers on one span."""
     m, digits = span["match"], _digits(span["match"])
-    before = F.substr(text, F.greatest(span["start"] - CONTEXT + 1, F.lit(1)),
+    before = piece_of(blocks, F.greatest(span["start"] - CONTEXT, F.lit(0)),
                       F.least(span["start"], F.lit(CONTEXT)))
-    after = F.substr(text, span["end"] + 1, F.lit(CONTEXT))
+    after = piece_of(blocks, span["end"], F.lit(CONTEXT))
 
     def vote(yes: Column, no: Column | None = None) -> Column:
         return F.when(yes, 1).when(F.lit(True) if no is None else no, -1).otherwise(0)
@@ -143,9 +143,16 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     base = base.withColumns({k: F.filter(k, lambda s: ~overlaps_any(s, [F.col(b) for b in BASE]))
                              for k in EXTRA})
 
+    # blocks only of texts with candidates
+    some = F.lit(False)
+    for k in BASE + EXTRA:
+        some = some | (F.size(k) > 0)
+    base = base.withColumn("_blocks", F.when(some, blocks_of(text)))
+    blocks = F.col("_blocks")
+
     def voted(kind: str) -> Column:
         return F.transform(kind, lambda s: F.struct(F.lit(kind).alias("kind"),
-                                                    _votes(kind, text, s).alias("votes")))
+                                                    _votes(kind, blocks, s).alias("votes")))
 
     cast = base.select(F.explode(F.concat(*[voted(k) for k in BASE + EXTRA])).alias("c")
                        ).select("c.kind", "c.votes")
@@ -162,7 +169,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def accepted(kind: str) -> Column:
         def good(s: Column) -> Column:
             z = F.lit(weights[-1])
-            for w, f in zip(weights, _features(F.lit(kind), _votes(kind, text, s)), strict=False):
+            for w, f in zip(weights, _features(F.lit(kind), _votes(kind, blocks, s)), strict=False):
                 z = z + F.lit(w) * f
             return 1 / (1 + F.exp(-z)) >= ACCEPT
 
@@ -173,25 +180,36 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def redact(text: Column, kinds: dict[str, Column]) -> Column:
     """The text with every span replaced by "[kind]"; of overlapping spans the
-    first, the longest among those of one start, names the gap."""
-    def named(kind: str, spans: Column) -> Column:
-        return F.transform(spans, lambda s: F.struct(
-            s["start"].alias("start"), (-s["end"]).alias("last"), F.lit(kind).alias("kind")))
-
-    spans = F.array_sort(F.concat(*[named(kind, spans) for kind, spans in kinds.items()]))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(state: Column, s: Column) -> Column:
-        end = -s["last"]
-        return F.when(s["start"] >= state["at"], F.struct(
-            end.alias("at"), F.concat(state["out"], F.array(
-                F.substr(text, state["at"] + 1, s["start"] - state["at"]),
-                F.concat(F.lit("["), s["kind"], F.lit("]")))).alias("out"))
-        ).otherwise(F.struct(F.greatest(state["at"], end).alias("at"), state["out"].alias("out")))
-
-    done = F.aggregate(spans, begin, step, lambda s: F.concat(
-        F.array_join(s["out"], ""), F.substr(text, s["at"] + 1, F.length(text) - s["at"])))
-    return F.when(F.size(spans) == 0, text).otherwise(done)
+    first, the longest among those of one start, names the gap.
+
+    Each kind's spans are in order and apart, so what ends last of all that
+    precede a span is found by a binary search in every kind.
+    """
+    ranked = sorted(kinds)
+
+    def named(kind: str) -> Column:
+        return F.transform(kinds[kind], lambda s: F.struct(
+            s["start"].alias("start"), (-s["end"]).alias("last"), F.lit(ranked.index(kind)).alias("kind")))
+
+    def last_end(no: int, kind: str, s: Column) -> Column:
+        spans = kinds[kind]
+        before = count_before(spans, lambda o: F.struct(
+            o["start"].alias("start"), (-o["end"]).alias("last"), F.lit(no).alias("kind")) < s)
+        return let(before, lambda k: F.when(k > 0, F.get(spans, k - 1)["end"]))
+
+    def reached(s: Column) -> Column:
+        return F.greatest(F.lit(0), *[last_end(no, kind, s) for no, kind in enumerate(ranked)])
+
+    names = F.array(*[F.lit(f"[{k}]") for k in ranked])
+    spans = F.array_sort(F.concat(*[named(kind) for kind in ranked]))
+    end = F.greatest(F.lit(0), *[F.coalesce(F.try_element_at(kinds[k], F.lit(-1))["end"], F.lit(0)) for k in ranked])
+
+    def cut(blocks: Column) -> Column:
+        pieces = F.transform(spans, lambda s: let(reached(s), lambda at: F.when(s["start"] >= at, F.concat(
+            piece_of(blocks, at, s["start"] - at), F.get(names, s["kind"])))))
+        return F.concat(F.array_join(pieces, ""), piece_of(blocks, end, F.length(text) - end))
+
+    return F.when(F.size(spans) == 0, text).otherwise(let(blocks_of(text), cut))
 
 
 def digest_columns(found: DataFrame) -> DataFrame:

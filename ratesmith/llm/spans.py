@@ -75,9 +75,47 @@ def join_spans(kinds: Sequence[tuple[str, Column]]) -> Column:
     return F.array_join(F.concat(*[shown(kind, spans) for kind, spans in kinds]), ",")
 
 
+#: Characters of a block of a text (see :func:`blocks_of`).
+BLOCK_CHARS = 1024
+
+
+def blocks_of(text: Column) -> Column:
+    """The text cut into blocks, so that pieces are found without counting
+    characters from its beginning."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK_CHARS}}}"), F.lit(0))
+
+
+def piece_of(blocks: Column, start: Column, length: Column) -> Column:
+    """``length`` characters of a text from ``start`` (of zero) on."""
+    first = F.floor(start / BLOCK_CHARS).cast("int")
+    last = F.floor((start + length) / BLOCK_CHARS).cast("int")
+    return F.substr(F.array_join(F.slice(blocks, first + 1, last - first + 1), ""),
+                    start - first * BLOCK_CHARS + 1, F.greatest(length, F.lit(0)))
+
+
+def count_before(spans: Column, is_before) -> Column:
+    """How many of the first spans fulfil ``is_before``, which holds for a
+    beginning of the array: a binary search, so long arrays cost little."""
+    n = F.size(spans)
+
+    def halve(state: Column, _: Column) -> Column:
+        mid = F.floor((state["lo"] + state["hi"]) / 2).cast("int")
+        return let(mid, lambda m: let(F.get(spans, m), lambda s: F.when(
+            s.isNotNull() & is_before(s), F.struct((m + 1).alias("lo"), state["hi"].alias("hi"))
+        ).otherwise(F.struct(state["lo"].alias("lo"), m.alias("hi")))))
+
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(n + 1)).cast("int"))
+    return F.when(n == 0, F.lit(0)).otherwise(F.aggregate(
+        steps, F.struct(F.lit(0).alias("lo"), n.alias("hi")), halve, lambda s: s["lo"]))
+
+
 def overlaps_any(span: Column, others: Sequence[Column]) -> Column:
-    """Does the span share a character with a span of the other arrays?"""
+    """Does the span share a character with a span of the other arrays, each
+    in order and without overlaps?  Only the last one that begins before the
+    span's end can."""
     hit = F.lit(False)
     for spans in others:
-        hit = hit | F.exists(spans, lambda o: (o["start"] < span["end"]) & (span["start"] < o["end"]))
+        last = let(count_before(spans, lambda o: o["start"] < span["end"]), lambda k: (k > 0) & (
+            F.get(spans, k - 1)["end"] > span["start"]))
+        hit = hit | F.coalesce(last, F.lit(False))
     return hit

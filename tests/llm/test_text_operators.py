@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ratesmith.llm import bpe, licenses, pii, secrets, sketches, toxicity
 from ratesmith.llm.queries import QUERIES
+from ratesmith.llm.spans import overlaps_any
 from ratesmith.llm.weak_supervision import estimate_reliabilities, fit_logistic
 
 from .conftest import SF001, rows
@@ -179,6 +180,39 @@ def test_reliabilities_and_classifier():
     assert fit_logistic([]) == [0.0] and estimate_reliabilities([]).hit == []
 
 
+def test_overlaps_in_many_spans(spark):
+    rnd = random.Random(2)
+
+    def spans(n):
+        at, out = 0, []
+        for _ in range(n):
+            at += rnd.randrange(4)
+            end = at + 1 + rnd.randrange(5)
+            out.append((at, end, "m"))
+            at = end
+        return out
+
+    data = [(spans(rnd.choice([0, 1, 5, 40])), spans(rnd.choice([0, 1, 7, 33])), spans(3)) for _ in range(60)]
+    kind = "array<struct<start:int,end:int,match:string>>"
+    frame = spark.createDataFrame(data, f"a {kind}, b {kind}, c {kind}")
+    hit = lambda s, o: any(x[0] < s[1] and s[0] < x[1] for x in o)
+    got = frame.select("a", "b", "c", F.transform("a", lambda s: overlaps_any(
+        s, [F.col("b"), F.col("c")])).alias("hit")).collect()
+    for r in got:
+        assert r.hit == [hit(s, r.b) or hit(s, r.c) for s in r.a]
+
+
+def test_twenty_thousand_spans_in_one_text(spark):
+    text = "".join(f"m{i}@x.example.com +1 (234) 555-{i % 10000:04d}; 10.0.0.{i % 256}\n" for i in range(7000))
+    docs = spark.createDataFrame([(1, text), (2, "a@b.com +49 30 1234567")], "doc_id long, text string")
+    found = pii.find_personal_data(docs)
+    kinds = {k: F.col(k) for k in pii.BASE + pii.EXTRA}
+    r = found.select("doc_id", F.size("email").alias("e"), F.size("phone").alias("p"), F.size("ip").alias("i"),
+                     pii.redact(F.col("text"), kinds).alias("t")).orderBy("doc_id").first()
+    assert (r.e, r.p, r.i) == (7000, 7000, 7000)
+    assert r.t == "[email] [phone]; [ip]\n" * 7000
+
+
 def test_personal_data_odd_rows(odd, clashing, empty):
     got = rows(pii.digest_columns(pii.find_personal_data(odd)))
     assert got == rows(pii.digest_columns(pii.find_personal_data(clashing))) and len(got) == odd.count()
