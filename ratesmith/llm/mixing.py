@@ -104,27 +104,21 @@ def block_schedule(targets: DataFrame, block_words: int) -> DataFrame:
     within = Window.partitionBy("source_no", "chunk").orderBy("slot")
     ranked = (slots.join(base.select("source_no", "chunk", "base"), ["source_no", "chunk"])
               .withColumn("rank", F.col("base") + F.row_number().over(within) - 1))
-    # quotas that the sequence left short are filled behind its last slot
+    # quotas that the sequence left short are filled behind its last slot, one
+    # source after the other
+    earlier = Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, -1)
     lacking = (quotas.join(base.groupBy("source_no").agg(F.sum("n").alias("n")), "source_no", "left")
                .withColumn("n", F.coalesce("n", F.lit(0))).filter("n < quota")
+               .withColumn("behind", F.coalesce(F.sum(F.col("quota") - F.col("n")).over(earlier), F.lit(0)))
                .withColumn("rank", F.explode(F.sequence("n", F.col("quota") - 1)))
-               .select((F.col("rank") - F.col("n") + total).alias("slot"), "source_no", "rank"))
+               .select((F.col("rank") - F.col("n") + F.col("behind") + total).alias("slot"), "source_no", "rank"))
     return ranked.filter("rank < quota").select("slot", "source_no", "rank").union(lacking)
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), id_col: str = "doc_id",
-        text_col: str = "text", source_col: str = "source", max_repeat: int = MAX_REPEAT,
-        block_words: int = BLOCK_WORDS, seed: int = 11) -> DataFrame:
-    """Return doc_id, source, size, source_size, target, taken: a row per row.
-
-    ``taken`` counts the words that the mix takes of a document, repeats
-    included: between 0 and ``max_repeat`` times its size, all of it once a
-    round except where its source's target ends.  The words taken of a source
-    are its target rounded down.  Null texts and texts without words have size
-    and taken 0; a null source is a source of its own, the last; repeated rows
-    are documents of their own; rows of equal id are shuffled as neighbours.
-    Other columns are ignored; an empty table gives an empty result.
-    """
+def _placed(docs: DataFrame, weights: Sequence[float], id_col: str, text_col: str, source_col: str,
+            max_repeat: int, block_words: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with their places in their sources' streams, and the schedule
+    joined to them: a row per slot and piece of a document in its block."""
     sized = cut_lineage(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         word_count(F.col(text_col)).alias("size"),
@@ -153,15 +147,53 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), id_col: str = "do
     # and the blocks that each meets
     lo = F.col("at") + F.col("round") * F.col("source_size")
     hi = F.least(lo + F.col("size"), F.col("words"))
-    block = F.col("block") * block_words
-    part = (F.least("hi", block + block_words) - F.greatest("lo", block))
-    taken = (located.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(max_repeat - 1))))
-             .withColumn("lo", lo).withColumn("hi", hi).filter("hi > lo")
-             .withColumn("block", F.explode(F.sequence(
-                 F.floor(F.col("lo") / block_words), F.floor((F.col("hi") - 1) / block_words))))
-             .select("source_no", "chunk", "row", F.col("block").alias("rank"), part.alias("part"))
-             .join(block_schedule(targets, block_words), ["source_no", "rank"])
-             .groupBy("source_no", "chunk", "row").agg(F.sum("part").alias("taken")))
+    block = F.col("rank") * block_words
+    pieces = (located.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(max_repeat - 1))))
+              .withColumn("lo", lo).withColumn("hi", hi).filter("hi > lo")
+              .withColumn("rank", F.explode(F.sequence(
+                  F.floor(F.col("lo") / block_words), F.floor((F.col("hi") - 1) / block_words))))
+              .withColumn("from", F.greatest("lo", block))
+              .withColumn("to", F.least("hi", block + block_words))
+              .select("source_no", "chunk", "row", "doc_id", "source", "rank",
+                      (F.col("from") - block).alias("at"), (F.col("from") - F.col("lo")).alias("start"),
+                      (F.col("to") - F.col("lo")).alias("end"))
+              .join(block_schedule(targets, block_words), ["source_no", "rank"]))
+    return located, pieces
+
+
+def schedule(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), id_col: str = "doc_id",
+             text_col: str = "text", source_col: str = "source", max_repeat: int = MAX_REPEAT,
+             block_words: int = BLOCK_WORDS, seed: int = 11) -> DataFrame:
+    """The mix itself: slot, at, source, rank, doc_id, start, end.
+
+    Read by slot, then ``at``, the rows are the mixed stream of words: slot
+    holds its source's block ``rank``, which has the words ``start`` to ``end``
+    of a document from its word ``at`` on.  Every stretch of slots holds the
+    sources near their shares.  Edge cases are those of :func:`mix`.
+    """
+    _, pieces = _placed(docs, weights, id_col, text_col, source_col, max_repeat, block_words, seed)
+    return pieces.select("slot", "at", "source", "rank", "doc_id", "start", "end")
+
+
+def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), id_col: str = "doc_id",
+        text_col: str = "text", source_col: str = "source", max_repeat: int = MAX_REPEAT,
+        block_words: int = BLOCK_WORDS, seed: int = 11) -> DataFrame:
+    """Return doc_id, source, size, source_size, target, taken, first_slot,
+    last_slot: a row per row.
+
+    ``taken`` counts the words that the schedule's slots hold of a document,
+    repeats included: between 0 and ``max_repeat`` times its size, all of it
+    once a round except where its source's target ends; ``first_slot`` and
+    ``last_slot`` are the slots it comes in, null if none.  The words taken of
+    a source are its target rounded down.  Null texts and texts without words
+    have size and taken 0; a null source is a source of its own, the last;
+    repeated rows are documents of their own; rows of equal id are shuffled as
+    neighbours.  Other columns are ignored; an empty table gives an empty result.
+    """
+    located, pieces = _placed(docs, weights, id_col, text_col, source_col, max_repeat, block_words, seed)
+    taken = pieces.groupBy("source_no", "chunk", "row").agg(
+        F.sum(F.col("end") - F.col("start")).alias("taken"),
+        F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"))
     return (located.join(taken, ["source_no", "chunk", "row"], "left")
             .select("doc_id", "source", "size", "source_size", "target",
-                    F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
+                    F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot", "last_slot"))

@@ -99,15 +99,15 @@ def token_digests(decoded: DataFrame) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document, and the bytes they decode to."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    ids = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return token_digests(bpe.decode(ids, ranks))
+    return token_digests(bpe.encode(table(spark, sf_dir, "documents"), ranks,
+                                    public_tokenizers.PATTERN, decoded=True))
 
 
 @register("op7_source_mix")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a 1:2:3 mix of all sources takes of every document."""
     return mixing.mix(table(spark, sf_dir, "documents"), weights=(1, 2, 3)).select(
-        "doc_id", "size", "source_size", "target", "taken", "source")
+        "doc_id", "size", "source_size", "target", "taken", "source", "first_slot", "last_slot")
 
 
 #: Host and path rules of the url query.

@@ -73,6 +73,40 @@ def test_mix_odd_rows(odd, clashing, empty):
     assert [r.taken for r in mixing.mix(odd.filter("doc_id in (3, 4)")).collect()] == [0, 0]
 
 
+def spread(docs, window, block):
+    """The farthest that a source's share of any stretch of slots is from its
+    share of the whole schedule, in slots; checks the schedule against mix()."""
+    got = mixing.schedule(docs, block_words=block).collect()
+    taken, slots, stream = {}, {}, {}
+    for r in got:
+        assert 0 <= r.start < r.end
+        assert slots.setdefault(r.slot, (r.source, r.rank)) == (r.source, r.rank)
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + r.end - r.start
+        stream.setdefault(r.slot, []).append((r.at, r.end - r.start))
+    assert len(set(slots.values())) == len(slots)  # each block once
+    for pieces in stream.values():  # a slot's pieces follow each other
+        at = 0
+        for begin, n in sorted(pieces):
+            assert begin == at
+            at += n
+        assert at <= block
+    mixed = mixing.mix(docs, block_words=block).collect()
+    assert {r.doc_id: r.taken for r in mixed if r.taken} == taken
+    assert all((r.first_slot is None) == (r.taken == 0) for r in mixed)
+    order = [slots[k][0] for k in sorted(slots)]
+    share = {x: order.count(x) / len(order) for x in order}
+    return max(abs(order[a:a + window].count(x) - window * share[x])
+               for a in range(len(order) - window) for x in share)
+
+
+def test_every_stretch_of_slots_holds_the_sources_near_their_shares(spark, monkeypatch):
+    data = [(i, "w " * (20 + i % 13), "en", f"s{i % 4 if i % 3 else 0}", 0) for i in range(400)]
+    docs = spark.createDataFrame(data, SCHEMA)
+    assert spread(docs, 64, 16) <= 7  # the sequence's discrepancy
+    monkeypatch.setattr(mixing, "_point", lambda k: F.lit(0.0) * k)
+    assert spread(docs, 64, 16) > 20
+
+
 def plain_verdict(url):
     if url is None or "://" not in url:
         return "", "", None, None
