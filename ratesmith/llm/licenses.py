@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratesmith.llm.spans import let, running_before
+from ratesmith.session import cut_lineage
 
 UNKNOWN = "unknown"
 #: Licence families and notices that name them (fixed values).
@@ -242,10 +243,16 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     lines = (docs.select(F.col(id_col).alias("doc_id"),
                          F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1).alias("lines"))
-             .withColumn("grams", F.transform("lines", line_grams)))
-    # unknown paragraphs with some template n-gram, but not enough of any
-    some = (lines.select(F.explode("grams").alias("grams")).filter(F.size("grams") > 0)
-            .groupBy("grams").agg(F.count(F.lit(1)).alias("n")))
+             .withColumn("grams", F.transform("lines", line_grams))
+             .withColumn("hit", F.exists("grams", lambda g: F.size(g) > 0)))
+    # n-grams are looked for once: lines are kept of documents that have any
+    lines = cut_lineage(lines.select("doc_id", F.when(F.col("hit"), F.col("lines")).alias("lines"),
+                                     F.when(F.col("hit"), F.col("grams")).alias("grams")))
+    # unknown paragraphs with some template n-gram, but not enough of any; the
+    # cut keeps the comparison with templates behind the aggregate
+    held = F.filter("grams", lambda g: F.size(g) > 0)
+    some = cut_lineage(lines.filter(F.col("grams").isNotNull()).select(F.explode_outer(held).alias("grams"))
+                       .groupBy("grams").agg(F.count(F.lit(1)).alias("n")))
     strange = F.lit(True)
     for _, template in TEMPLATE_GRAMS:
         strange = strange & (F.size(F.array_intersect("grams", _strings(sorted(template)))) < MIN_CONTAINED * len(template))
@@ -274,7 +281,7 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     none = F.array().cast(_NOTICES)
     sizes = F.transform("lines", lambda p: F.length(p) + 1)
-    any_hit = F.exists("grams", lambda g: F.size(g) > 0)
+    any_hit = F.col("grams").isNotNull()
     alone = F.when(any_hit, F.zip_with(F.zip_with("starts", "lines", lambda a, t: F.struct(
         a.alias("start"), (a + F.length(t)).alias("end"))), F.col("grams"), lambda p, g: judge(F.struct(
             p["start"].alias("start"), p["end"].alias("end"), g.alias("grams")))))
