@@ -16,9 +16,8 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +32,13 @@ CHUNK_CHARS, OVERLAP_CHARS = 32768, 512
 #: A boundary counts only if the chunk shows this many characters behind it:
 #: the pattern looks no further ahead ("'re" from "'" needs two).
 LOOKAHEAD = 2
-#: Encoded pre-tokens that a worker remembers, and the longest kept.
-CACHE_ENTRIES, CACHE_CHARS = 400_000, 64
+#: Bytes of encoded pre-tokens that a task remembers, and the longest kept.
+CACHE_BYTES, CACHE_CHARS = 32 << 20, 64
+#: Bytes that a remembered pre-token takes besides its ids, about: its text,
+#: the ids' object and its place in the table.
+_ENTRY_BYTES = 200
+#: Rows encoded and handed on at a time.
+ROWS_AT_ONCE = 512
 #: Pre-tokens above this many bytes are merged with a heap.
 HEAP_BYTES = 256
 #: Ids whose bytes are gathered at a time.
@@ -103,27 +107,27 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
 
 
 class _Encoder(dict):
-    """Pre-token -> ids, filled on demand up to a bound."""
+    """Pre-token -> ids as bytes of int32, filled on demand up to a bound."""
 
     def __init__(self, ranks_path: str, pattern: str):
         super().__init__()
-        self.ranks, self.find = load_ranks(ranks_path), regex.compile(pattern)
+        self.ranks, self.find, self.room = load_ranks(ranks_path), regex.compile(pattern), CACHE_BYTES
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = merge(piece.encode("utf-8", "surrogatepass"), self.ranks)
+    def __missing__(self, piece: str) -> bytes:
+        ids = np.array(merge(piece.encode("utf-8", "surrogatepass"), self.ranks), np.int32).tobytes()
         if len(piece) <= CACHE_CHARS:
-            if len(self) >= CACHE_ENTRIES:
+            self.room -= _ENTRY_BYTES + len(ids)
+            if self.room < 0:
                 self.clear()
+                self.room = CACHE_BYTES
             self[piece] = ids
         return ids
 
-    def encode(self, text: str) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(map(self.__getitem__, self.find.findall(text))), np.int32)
-
+    def join(self, pieces: Iterable[str]) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.__getitem__, pieces)), np.int32)
 
-@lru_cache(maxsize=2)
-def encoder(ranks_path: str, pattern: str) -> _Encoder:
-    return _Encoder(ranks_path, pattern)
+    def encode(self, text: str) -> np.ndarray:
+        return self.join(self.find.findall(text))
 
 
 def boundaries(text: str, start: int, last: bool, pattern: str) -> list[int]:
@@ -162,7 +166,7 @@ def _ids_batch(keys: pa.Array, ids: list[np.ndarray], name: str) -> pa.RecordBat
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
            text_col: str = "text", chunk_chars: int = CHUNK_CHARS,
-           overlap_chars: int = OVERLAP_CHARS) -> DataFrame:
+           overlap_chars: int = OVERLAP_CHARS, decoded: bool = False) -> DataFrame:
     """Return doc_id and ids (array of int): one row per input row.
 
     ``ranks_path`` names a rank file that every executor has.  The pattern
@@ -170,7 +174,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     must end within LOOKAHEAD characters.  Null and empty texts give an empty
     array; repeated rows and null ids are kept; other columns are ignored; an
     empty table gives an empty result.  Texts above ``chunk_chars`` are
-    encoded once per distinct text.
+    encoded once per distinct text.  With ``decoded`` the ids are decoded too,
+    in the same task for texts of one chunk (see :func:`decode`).
     """
     if chunk_chars <= 2 * overlap_chars:
         raise ValueError("a chunk must be longer than both overlaps")
@@ -179,13 +184,21 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run = encoder(ranks_path, pattern).encode
+        # the memory of what was encoded ends with the task
+        run = _Encoder(ranks_path, pattern).encode
         for batch in batches:
-            yield _ids_batch(batch[0], [run(t.as_py()) for t in batch["text"]],
-                             batch.schema.names[0])
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                some = batch.slice(at, ROWS_AT_ONCE)
+                ids = [run(t.as_py()) for t in some["text"]]
+                out = _ids_batch(some[0], ids, some.schema.names[0])
+                if decoded and some.schema.names[0] == "doc_id":
+                    out = out.append_column("decoded", pa.array(
+                        [decode_ids(i, ranks_path) for i in ids], pa.binary()))
+                yield out
 
     is_long = F.char_length("text") > chunk_chars
-    short = source.filter(~is_long).mapInArrow(whole, f"doc_id {kind}, ids array<int>")
+    short = source.filter(~is_long).mapInArrow(
+        whole, f"doc_id {kind}, ids array<int>" + ", decoded binary" * decoded)
 
     keyed = source.filter(is_long).withColumn("key", F.sha2("text", 256))
     chunks = (keyed.select("key", "text")
@@ -219,7 +232,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     seams = cut_lineage(seams.select("key", "no", "from", "to", "stitched"))
 
     def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run = encoder(ranks_path, pattern)
+        run = _Encoder(ranks_path, pattern)
         for batch in batches:
             ids = []
             for text, start, lo, hi in zip(*(batch[c].to_pylist() for c in (
@@ -231,7 +244,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
                     if match.start() >= hi - start:
                         break
                     pieces.append(match[0])
-                ids.append(np.fromiter(chain.from_iterable(map(run.__getitem__, pieces)), np.int32))
+                ids.append(run.join(pieces))
             out = _ids_batch(batch["key"], ids, "key")
             yield pa.RecordBatch.from_arrays([out["key"], batch["no"], out["ids"]],
                                              names=["key", "no", "ids"])
@@ -245,7 +258,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     rest = (keyed.join(unstitched, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
             .mapInArrow(whole, "key string, ids array<int>"))
     long = keyed.select("doc_id", "key").join(parts.union(rest), "key").select("doc_id", "ids")
-    return short.union(long)
+    return short.union(decode(long, ranks_path) if decoded else long)
 
 
 @lru_cache(maxsize=2)
