@@ -74,8 +74,7 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     of the bytes they decode to."""
     ready(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    decoded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
-    return token_digests(decoded)
+    return token_digests(bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True))
 
 
 STAGES = [
