@@ -36,6 +36,8 @@ SCALE, SUBSUMED = 2_000_000, 80
 _CLASSES = wa.byte_classes(b" \t", b".,;:!?\n\x0b\x0c\r")
 #: Words whose phrases are sorted at a time.
 _AT_ONCE = 1 << 18
+#: Texts taken from a batch at a time.
+_TEXTS = 512
 
 
 @lru_cache(maxsize=4096)
@@ -45,15 +47,18 @@ def _salt(lang: str, seed: int) -> int:
 
 def _word_ids(batch: pa.RecordBatch, seed: int) -> Iterator[tuple]:
     """For groups of texts: bytes, word starts and ends, ids, the piece and
-    the text of each word, the first text."""
-    texts, langs = batch["text"].cast(pa.binary()).to_pylist(), batch["lang"].to_pylist()
-    for first, end, data, begins in wa.blocks(texts):
-        starts, ends, hashes = wa.hash_words(data, _CLASSES, seed)
-        text_of = np.searchsorted(begins, starts, "right") - 1
-        salts = np.array([_salt(lang, seed) for lang in langs[first:end]], np.uint64)
-        # texts are joined by line ends, so a piece lies in one text
-        piece = np.searchsorted(np.flatnonzero(_CLASSES[data] == wa.BREAK), starts)
-        yield data, starts, ends, wa.mix(hashes ^ salts[text_of]), piece, text_of + first
+    the language of each word."""
+    for at in range(0, batch.num_rows, _TEXTS):
+        some = batch.slice(at, _TEXTS)
+        texts, langs = some["text"].cast(pa.binary()).to_pylist(), some["lang"].to_pylist()
+        for first, end, data, begins in wa.blocks(texts):
+            starts, ends, hashes = wa.hash_words(data, _CLASSES, seed)
+            text_of = np.searchsorted(begins, starts, "right") - 1
+            salts = np.array([_salt(lang, seed) for lang in langs[first:end]], np.uint64)
+            # texts are joined by line ends, so a piece lies in one text
+            piece = np.searchsorted(np.flatnonzero(_CLASSES[data] == wa.BREAK), starts)
+            yield data, starts, ends, wa.mix(hashes ^ salts[text_of]), piece, \
+                lambda i, langs=langs, of=text_of, first=first: langs[first + of[i]]
 
 
 def _keys(rows: np.ndarray) -> pa.Array:
@@ -65,45 +70,42 @@ def _keys(rows: np.ndarray) -> pa.Array:
 
 
 def _word_runs(texts: DataFrame, seed: int) -> DataFrame:
-    """(lang, word, key, h, n): runs of the counted words."""
+    """(lang, word, key, n): runs of the counted words."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, names = HatTrie(2), {}
 
         def out(rows: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-            lang, word = zip(*(names.pop(k) for k in map(tuple, rows.tolist())), strict=True)
+            raw = rows.astype(">u8").tobytes()
+            lang, word = zip(*[names.pop(raw[i:i + 16]) for i in range(0, len(raw), 16)], strict=True)
             return pa.RecordBatch.from_arrays(
                 [pa.array(lang, pa.string()), pa.array(word, pa.binary()).cast(pa.string()),
-                 _keys(rows[:, :1]), pa.array(wa.hash_columns([rows[:, 0]]).view(np.int64)),
-                 pa.array(counts)], names=["lang", "word", "key", "h", "n"])
+                 _keys(rows[:, :1]), pa.array(counts)], names=["lang", "word", "key", "n"])
 
         for batch in batches:
-            langs = batch["lang"].to_pylist()
-            # a second hash keeps words of one id apart
-            for (data, starts, ends, ids, _, text_of), (*_, check, _, _) in zip(
-                    _word_ids(batch, seed), _word_ids(batch, seed + 1), strict=True):
-                _, one = np.unique(ids ^ (check << np.uint64(1)), return_index=True)
-                for i, key in zip(one.tolist(), zip(ids[one].tolist(), check[one].tolist(), strict=True),
-                                  strict=True):
+            for data, starts, ends, ids, _, lang_of in _word_ids(batch, seed):
+                # words of one id that differ in length or in an outer byte stay
+                # apart; others are told apart where they occur without each other
+                look = ((ends - starts) << 16 | data[starts].astype(np.int64) << 8 | data[ends - 1])
+                for key, i in zip(*trie.add([ids, look.astype(np.uint64)]), strict=True):
                     if key not in names:
-                        names[key] = langs[text_of[i]], data[starts[i]:ends[i]].tobytes()
-                for run in trie.add([ids, check]):
+                        names[key] = lang_of(i), data[starts[i]:ends[i]].tobytes()
+                for run in trie.overflow():
                     yield out(*run)
         for run in trie.drain():
             yield out(*run)
 
-    return texts.mapInArrow(count, "lang string, word string, key binary, h long, n long")
+    return texts.mapInArrow(count, "lang string, word string, key binary, n long")
 
 
 def _phrase_runs(texts: DataFrame, seed: int, size: int, shorter) -> DataFrame:
-    """(key, h, n): runs of the counted phrases of ``size`` words whose parts
-    of one word less are in the bitmap ``shorter``."""
+    """(head, last, n): runs of the counted phrases of ``size`` words whose
+    parts of one word less are in the bitmap ``shorter``."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, bits = HatTrie(size), shorter.value
 
         def out(rows: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-            h = wa.hash_columns(list(rows.T))
             return pa.RecordBatch.from_arrays(
-                [_keys(rows), pa.array(h.view(np.int64)), pa.array(counts)], names=["key", "h", "n"])
+                [_keys(rows[:, :-1]), _keys(rows[:, -1:]), pa.array(counts)], names=["head", "last", "n"])
 
         for batch in batches:
             for _, _, _, ids, piece, _ in _word_ids(batch, seed):
@@ -112,31 +114,45 @@ def _phrase_runs(texts: DataFrame, seed: int, size: int, shorter) -> DataFrame:
                     n = len(words) - size + 1
                     part = wa.in_bitmap(bits, wa.hash_runs(words, size - 1))
                     at = np.flatnonzero((pieces[:n] == pieces[size - 1:]) & part[:n] & part[1:])
-                    for run in trie.add([words[at + i] for i in range(size)]):
+                    trie.add([words[at + i] for i in range(size)])
+                    for run in trie.overflow():
                         yield out(*run)
         for run in trie.drain():
             yield out(*run)
 
-    return texts.mapInArrow(count, "key binary, h long, n long")
+    return texts.mapInArrow(count, "head binary, last binary, n long")
 
 
 def _merged(runs: DataFrame, size: int) -> DataFrame:
-    """Counts of whole phrases: runs meet by prefix, all words but the last
-    (of two, both), and are summed there."""
-    words = size if size < 3 else size - 1
-    return (runs.withColumn("prefix", F.substring("key", 1, 8 * words)).repartition("prefix")
-            .groupBy("prefix", "key", "h").agg(F.sum("n").alias("n")).drop("prefix"))
+    """(key, n) of whole phrases: runs meet by prefix, that is by all words but
+    the last (of two words, by both), and are summed there."""
+    prefix = ["head", "last"] if size == 2 else ["head"]
+    return (runs.repartition(*prefix).groupBy("head", "last").agg(F.sum("n").alias("n"))
+            .select(F.concat("head", "last").alias("key"), "n"))
+
+
+def _bitmap(level: DataFrame) -> np.ndarray:
+    """Bitmap of a level's keys."""
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch[0].to_pylist()
+            if keys:
+                rows = np.frombuffer(b"".join(keys), ">u8").reshape(len(keys), -1).astype(np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(wa.hash_columns(list(rows.T)).view(np.int64))], names=["h"])
+
+    return wa.bitmap(level.select("key").mapInArrow(hashed, "h long"), "h")
 
 
 def vocabulary(texts: DataFrame) -> tuple[DataFrame, int]:
-    """(lang, word, key, h, n) of every distinct word, and the ids' seed."""
+    """(lang, word, key, n) of every distinct word, and the ids' seed."""
     seed = 0
     while True:
         words = cut_lineage(_word_runs(texts, seed).groupBy("lang", "word").agg(
-            F.min("key").alias("key"), F.min("h").alias("h"), F.sum("n").alias("n")))
+            F.min("key").alias("key"), F.sum("n").alias("n")))
         if words.groupBy("key").count().filter("count > 1").isEmpty():
             return words, seed
-        seed += 2
+        seed += 1
 
 
 def _slice(key: str, start: str, words: str):
@@ -187,10 +203,10 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                         F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"))
     words, seed = vocabulary(texts)
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    names = words.filter(F.col("n") >= min_count).select("key", "lang", "word", "n", "h")
-    levels = [names.select("key", "h", "n")]
+    names = words.filter(F.col("n") >= min_count).select("key", "lang", "word", "n")
+    levels = [names.select("key", "n")]
     for size in range(2, max_words + 1):
-        shorter = spark.sparkContext.broadcast(wa.bitmap(levels[-1], "h"))
+        shorter = spark.sparkContext.broadcast(_bitmap(levels[-1]))
         levels.append(cut_lineage(_merged(_phrase_runs(texts, seed, size, shorter), size)
                                   .filter(F.col("n") >= min_count)))
         shorter.destroy()

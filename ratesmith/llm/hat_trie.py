@@ -30,19 +30,27 @@ class HatTrie:
         self.width, self.burst, self.spill = width, burst, spill
         self.root, self.size = _Node(), 0
 
-    def add(self, columns: list[np.ndarray]) -> Iterator[Run]:
-        """Count one key per row of the columns; yields the runs spilled."""
+    def add(self, columns: list[np.ndarray]) -> tuple[list[bytes], list[int]]:
+        """Count one key per row of the columns; returns the distinct keys and
+        a row of each."""
         order = np.lexsort(columns[::-1])
-        rows = np.stack([c[order] for c in columns], axis=1)
-        if len(rows):
-            new = np.ones(len(rows), bool)
-            new[1:] = (rows[1:] != rows[:-1]).any(axis=1)
-            first = np.flatnonzero(new)
-            counts = np.diff(np.append(first, len(rows))).tolist()
-            raw = rows[first].astype(">u8").tobytes()
-            step = 8 * self.width
-            keys = [raw[i:i + step] for i in range(0, len(raw), step)]
+        new = np.zeros(len(order), bool)
+        new[:1] = True
+        for column in columns:
+            ordered = column[order]
+            new[1:] |= ordered[1:] != ordered[:-1]
+        first = np.flatnonzero(new)
+        rows = order[first]
+        raw = np.stack([c[rows] for c in columns], axis=1).astype(">u8").tobytes()
+        step = 8 * self.width
+        keys = [raw[i:i + step] for i in range(0, len(raw), step)]
+        if keys:
+            counts = np.diff(np.append(first, len(order))).tolist()
             self._insert(self.root, 0, keys, counts, np.frombuffer(raw, np.uint8).reshape(-1, step))
+        return keys, rows.tolist()
+
+    def overflow(self) -> Iterator[Run]:
+        """The runs to spill now, if the trie is too full."""
         if self.size > self.spill:
             yield from self._spill(self.spill // 2)
 

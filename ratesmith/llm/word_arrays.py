@@ -77,7 +77,7 @@ def _powers(seed: int, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _table_size(n: int) -> int:
-    return max(BLOCK_BYTES * 2, 1 << int(n).bit_length())
+    return max(BLOCK_BYTES + (1 << 16), 1 << int(n).bit_length() if n > BLOCK_BYTES + (1 << 16) else 0)
 
 
 def segments(data: np.ndarray, classes: np.ndarray) -> Iterator[tuple[int, int]]:
