@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -32,8 +33,8 @@ CHUNK_CHARS, OVERLAP_CHARS = 32768, 512
 #: A boundary counts only if the chunk shows this many characters behind it:
 #: the pattern looks no further ahead ("'re" from "'" needs two).
 LOOKAHEAD = 2
-#: Bytes of encoded pre-tokens that a task remembers, and the longest kept.
-CACHE_BYTES, CACHE_CHARS = 32 << 20, 64
+#: Bytes of encoded pre-tokens that a worker remembers, and the longest kept.
+CACHE_BYTES, CACHE_CHARS = 64 << 20, 64
 #: Bytes that a remembered pre-token takes besides its ids, about: its text,
 #: the ids' object and its place in the table.
 _ENTRY_BYTES = 200
@@ -114,7 +115,7 @@ class _Encoder(dict):
         self.ranks, self.find, self.room = load_ranks(ranks_path), regex.compile(pattern), CACHE_BYTES
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(merge(piece.encode("utf-8", "surrogatepass"), self.ranks), np.int32).tobytes()
+        ids = array("i", merge(piece.encode("utf-8", "surrogatepass"), self.ranks)).tobytes()
         if len(piece) <= CACHE_CHARS:
             self.room -= _ENTRY_BYTES + len(ids)
             if self.room < 0:
@@ -130,6 +131,11 @@ class _Encoder(dict):
         return self.join(self.find.findall(text))
 
 
+@lru_cache(maxsize=1)
+def encoder(ranks_path: str, pattern: str) -> _Encoder:
+    return _Encoder(ranks_path, pattern)
+
+
 def boundaries(text: str, start: int, last: bool, pattern: str) -> list[int]:
     """Pre-token boundaries of a chunk that begins at ``start`` of its text;
     those that the chunk's end may have shifted are left out."""
@@ -184,8 +190,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # the memory of what was encoded ends with the task
-        run = _Encoder(ranks_path, pattern).encode
+        run = encoder(ranks_path, pattern).encode
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 some = batch.slice(at, ROWS_AT_ONCE)
@@ -232,7 +237,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     seams = cut_lineage(seams.select("key", "no", "from", "to", "stitched"))
 
     def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run = _Encoder(ranks_path, pattern)
+        run = encoder(ranks_path, pattern)
         for batch in batches:
             ids = []
             for text, start, lo, hi in zip(*(batch[c].to_pylist() for c in (
