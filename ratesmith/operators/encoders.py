@@ -53,15 +53,18 @@ def distinct_values(df: DataFrame, col: str | Column, name: str = "value") -> Da
 
 
 def sentinel_codes_multi(df: DataFrame, cols: Sequence[str], sentinel: str = UNKNOWN,
-                         excluded: str = NONE_SENTINEL) -> dict[str, DataFrame]:
+                         excluded: str = NONE_SENTINEL, null_as: str | None = UNKNOWN
+                         ) -> dict[str, DataFrame]:
     """W1 vocabularies of several columns from one distributed index.
 
+    NULL is read as ``null_as``; with None it is in no vocabulary.
+
     Rows (column, value) are numbered in (column, value) order; a column's
     code is its position minus the position of the column's first value.
     """
     vocab = None
     for c in cols:
-        v = df.select(F.lit(c).alias("column"), F.coalesce(F.col(c), F.lit(sentinel)).alias("value"))
+        v = df.select(F.lit(c).alias("column"), F.coalesce(F.col(c), F.lit(null_as)).alias("value"))
         vocab = v if vocab is None else vocab.unionByName(v)
     vocab = vocab.where(F.col("value") != F.lit(excluded)).distinct()
     idx = consecutive_index(vocab, ["column", "value"], "pos")
@@ -74,14 +77,15 @@ def sentinel_codes_multi(df: DataFrame, cols: Sequence[str], sentinel: str = UNK
 
 
 def sentinel_codes(df: DataFrame, col: str, sentinel: str = UNKNOWN,
-                   excluded: str = NONE_SENTINEL) -> DataFrame:
+                   excluded: str = NONE_SENTINEL, null_as: str | None = UNKNOWN) -> DataFrame:
     """W1 vocabulary: (value, code) with code = sorted position, sentinel -> -1.
 
-    NULL is read as ``sentinel`` first.  The sentinel keeps its slot in the
+    NULL is read as ``null_as`` first; with None (for rows whose absent keys
+    already read as ``sentinel``) it is in no vocabulary.  The sentinel keeps its slot in the
     enumeration (so it leaves a gap) and is then coded -1; ``excluded`` is
     left out of the vocabulary.
     """
-    return sentinel_codes_multi(df, [col], sentinel, excluded)[col]
+    return sentinel_codes_multi(df, [col], sentinel, excluded, null_as)[col]
 
 
 def apply_codes(df: DataFrame, col: str, codes: DataFrame, out: str,
@@ -93,10 +97,11 @@ def apply_codes(df: DataFrame, col: str, codes: DataFrame, out: str,
     return j.withColumn(out, F.coalesce(F.col("_code"), F.lit(missing_code).cast("long"))).drop("_v", "_code")
 
 
-def sentinel_encode(df: DataFrame, col: str, out: str, vocab_source: DataFrame | None = None) -> DataFrame:
-    """Alphabetical code with sentinel -1 (city, state)."""
-    codes = sentinel_codes(vocab_source if vocab_source is not None else df, col)
-    return apply_codes(df, col, codes, out)
+def sentinel_encode(df: DataFrame, col: str, out: str, vocab_source: DataFrame | None = None,
+                    null_as: str | None = UNKNOWN) -> DataFrame:
+    """Alphabetical code with sentinel -1 (city, state); NULL gets -1."""
+    codes = sentinel_codes(vocab_source if vocab_source is not None else df, col, null_as=null_as)
+    return apply_codes(df, col, codes, out, null_as)
 
 
 def label_codes(df: DataFrame, col: str, fill: str = UNKNOWN) -> DataFrame:

@@ -53,18 +53,20 @@ def user_features(user: DataFrame, as_of: str = fx.DEFAULT_AS_OF, log_counts: bo
 
 def business_features(business: DataFrame, log_counts: bool = False,
                       city_codes: DataFrame | None = None,
-                      state_codes: DataFrame | None = None) -> DataFrame:
+                      state_codes: DataFrame | None = None,
+                      null_as: str | None = fx.UNKNOWN) -> DataFrame:
     """business_id + the nine business features (doubles).
 
     City and state codes come from :func:`sentinel_codes` over the business
-    table itself unless given.
+    table itself unless given; a null one counts as ``null_as``, and with None
+    is in no vocabulary (for rows whose absent keys already read as 'Unknown').
     """
     if city_codes is None or state_codes is None:
-        codes = sentinel_codes_multi(business, ["city", "state"])
+        codes = sentinel_codes_multi(business, ["city", "state"], null_as=null_as)
         city_codes = city_codes if city_codes is not None else codes["city"]
         state_codes = state_codes if state_codes is not None else codes["state"]
-    b = apply_codes(business, "city", city_codes, "_city_code")
-    b = apply_codes(b, "state", state_codes, "_state_code")
+    b = apply_codes(business, "city", city_codes, "_city_code", null_as)
+    b = apply_codes(b, "state", state_codes, "_state_code", null_as)
     rc = fx.log1p_count("review_count") if log_counts else F.col("review_count").cast("double")
     return b.select(
         "business_id",
@@ -134,7 +136,8 @@ LOG_COUNT_SETS = {"fs20l", "fs23l"}
 
 
 def business_side(business: DataFrame, review: DataFrame, photo: DataFrame | None,
-                  tip: DataFrame | None, feature_set: str, log_counts: bool | None = None) -> DataFrame:
+                  tip: DataFrame | None, feature_set: str, log_counts: bool | None = None,
+                  null_as: str | None = fx.UNKNOWN) -> DataFrame:
     """All per-business features of a set in one table keyed by business_id.
 
     Tables are outer-joined on the business key (each already hash-partitioned
@@ -143,7 +146,7 @@ def business_side(business: DataFrame, review: DataFrame, photo: DataFrame | Non
     """
     log_counts = feature_set in LOG_COUNT_SETS if log_counts is None else log_counts
     wanted = set(FEATURE_SETS[feature_set])
-    biz = business_features(business, log_counts=log_counts)
+    biz = business_features(business, log_counts=log_counts, null_as=null_as)
     biz = biz.select("business_id", *[c for c in BUSINESS_COLS if c in wanted])
     rev = review_averages(review)
     rev = rev.select("business_id", *[c for c in REVIEW_COLS if c in wanted])

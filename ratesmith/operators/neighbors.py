@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratesmith.functions.scalars import AMPLIFY_POWER, amplify, clamp
+from ratesmith.operators.encoders import consecutive_index
 from ratesmith.session import cut_lineage
 
 DEFAULT_K = 20
@@ -43,6 +44,7 @@ MIN_STARS, TOP_STARS = 1.0, 5.0
 TIE_DIGITS = 9
 # bits of the needed pairs' bitmap: for each pair, at least, at most (powers of 2)
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 16, 26
+MAP_ENTRIES = 1024  # mean entries of one piece of a rating map
 BLOCK = 256  # ratings of one user that a task pairs with as many others
 
 
@@ -229,6 +231,68 @@ def corated_users(ratings: DataFrame, item_a, item_b) -> DataFrame:
     return a.intersect(b)
 
 
+def rater_words(ratings: DataFrame) -> DataFrame:
+    """U1 as bitmaps: (item, word, bits), bit j of word w being user 64 w + j.
+
+    ``ratings`` holds one row per (user, item); users are numbered by a
+    distributed index of their ids.  Only words with a rater are kept.
+    """
+    users = consecutive_index(ratings.select("user_id").distinct(), ["user_id"], "_code")
+    bit = F.expr("shiftleft(1L, cast(_code % 64 as int))")
+    return (ratings.select("user_id", F.col("business_id").alias("item")).join(users, "user_id")
+            .groupBy("item", F.expr("_code div 64").alias("word")).agg(F.bit_or(bit).alias("bits")))
+
+
+def corated_counts(needed: DataFrame, ratings: DataFrame) -> DataFrame:
+    """(target, rated, n), the number of common raters of each needed pair.
+
+    Rater bitmaps are written once and intersected word by word, so up to 64
+    raters of an item are one row; the bits are counted inside the join's tasks
+    before anything is shuffled by pair.  Pairs without a common rater have 0.
+    """
+    kind = ratings.schema["business_id"].dataType
+    target, rated = F.col("target").try_cast(kind), F.col("rated").try_cast(kind)
+    # least and greatest pass over nulls: an id that is no item meets nothing
+    both = target.isNotNull() & rated.isNotNull()
+    asked = needed.select("target", "rated", F.when(both, F.least(target, rated)).alias("a"),
+                          F.when(both, F.greatest(target, rated)).alias("b"))
+    words = cut_lineage(rater_words(ratings))
+    common = F.col("x").bitwiseAND(F.col("y"))
+    counts = (asked.select("a", "b").dropna().distinct()
+              .join(words.select(F.col("item").alias("a"), "word", F.col("bits").alias("x")), "a")
+              .join(words.select(F.col("item").alias("b"), "word", F.col("bits").alias("y")), ["b", "word"])
+              .where(common != 0)
+              .groupBy("a", "b").agg(F.sum(F.bit_count(common).cast("long")).alias("n")))
+    return asked.join(counts, ["a", "b"], "left").select(
+        "target", "rated", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
+def rating_maps(ratings: DataFrame, key: str = "user_id", other: str = "business_id",
+                entries: int = MAP_ENTRIES) -> DataFrame:
+    """A8 as maps: (key, pieces, piece, ratings), ``ratings`` a map other -> stars.
+
+    ``ratings`` holds one row per (user, item).  A key's entries are dealt by a
+    hash of ``other`` into ``ceil(n / entries)`` pieces, so a map of a key of any
+    size stays near ``entries`` and a hot key spreads over tasks; a piece is
+    found again from the hash (:func:`map_ratings`).
+    """
+    sizes = ratings.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / entries).cast("long").alias("pieces"))
+    return (ratings.join(sizes, key)
+            .groupBy(key, "pieces", F.pmod(F.xxhash64(other), F.col("pieces")).alias("piece"))
+            .agg(F.map_from_entries(F.collect_list(F.struct(other, "stars"))).alias("ratings")))
+
+
+def map_ratings(pairs: DataFrame, maps: DataFrame, key: str = "user_id",
+                other: str = "business_id") -> DataFrame:
+    """``pairs`` with ``stars`` looked up in :func:`rating_maps`, NULL if absent."""
+    sizes = maps.select(key, "pieces").distinct()
+    return (pairs.join(sizes, key, "left")
+            .withColumn("piece", F.pmod(F.xxhash64(other), F.col("pieces")))
+            .join(maps.drop("pieces"), [key, "piece"], "left")
+            .withColumn("stars", F.try_element_at("ratings", F.col(other)))
+            .select(*pairs.columns, "stars"))
+
+
 def rating_map_long(ratings: DataFrame, raw: DataFrame, key: str = "user_id") -> DataFrame:
     """A8 in normalised form: key -> (other, last rating) rows plus the key's mean.
 

@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratesmith.functions.scalars import DEFAULT_AS_OF
+from ratesmith.functions.scalars import DEFAULT_AS_OF, UNKNOWN
 from ratesmith.operators import blend as BL
 from ratesmith.operators import encoders as EN
 from ratesmith.operators import evaluate as EV
@@ -40,6 +40,7 @@ class Inputs:
     train: DataFrame       # last rating per (user, business)
     val: DataFrame         # (user_id, business_id[, stars]) to predict
     order: tuple[str, ...] = ("user_id", "business_id")  # train_raw's line order
+    null_place: str | None = UNKNOWN  # what a null city or state counts as; None: nothing
 
 
 def _with_line_order(df: DataFrame) -> DataFrame:
@@ -49,18 +50,28 @@ def _with_line_order(df: DataFrame) -> DataFrame:
                      F.monotonically_increasing_id().alias("_pos"))
 
 
-def load_files(spark: SparkSession, folder: str, val_path: str) -> Inputs:
-    """The reference's folder layout (JSON lines + CSV with header)."""
+def load_files(spark: SparkSession, folder: str, val_path: str, absent_place: str | None = None) -> Inputs:
+    """The reference's folder layout (JSON lines + CSV with header).
+
+    With ``absent_place`` ('Unknown'), a city or state whose key is absent reads
+    as that, and a null one stays NULL and out of the vocabularies; without, both
+    read as NULL and count as 'Unknown'.
+    """
     p = lambda name: os.path.join(folder, name)
     user = RD.read_json(spark, p("user.json"), S.USER_SCHEMA, required=S.REQUIRED["user"])
-    business = RD.read_json(spark, p("business.json"), S.BUSINESS_SCHEMA, required=S.REQUIRED["business"])
+    if absent_place is None:
+        business = RD.read_json(spark, p("business.json"), S.BUSINESS_SCHEMA, required=S.REQUIRED["business"])
+    else:
+        business = RD.read_json_keys(spark, p("business.json"), S.BUSINESS_SCHEMA,
+                                     dict.fromkeys(("city", "state"), absent_place), S.REQUIRED["business"])
     review = RD.read_json(spark, p("review_train.json"), S.REVIEW_SCHEMA, required=S.REQUIRED["review"])
     photo = RD.read_json(spark, p("photo.json"), S.PHOTO_SCHEMA)
     tip = RD.read_json(spark, p("tip.json"), S.TIP_SCHEMA)
     raw = _with_line_order(RD.read_ratings(spark, p("yelp_train.csv")))
     train = last_by_ordinal(raw, ["user_id", "business_id"], ["stars"], ["_file", "_block", "_pos"])
     val = RD.read_ratings(spark, val_path)
-    return Inputs(user, business, review, photo, tip, raw, train, val, ("_file", "_block", "_pos"))
+    return Inputs(user, business, review, photo, tip, raw, train, val, ("_file", "_block", "_pos"),
+                  UNKNOWN if absent_place is None else None)
 
 
 def from_fixtures(spark: SparkSession, sf_dir: str, item: str = "dense") -> Inputs:
@@ -89,9 +100,15 @@ def write_inputs(inp: Inputs, folder: str) -> str:
     return at("yelp_val.csv")
 
 
+def _side(inp: Inputs, feature_set: str) -> DataFrame:
+    return FT.business_side(inp.business, inp.review, inp.photo, inp.tip, feature_set, null_as=inp.null_place)
+
+
 def features(inp: Inputs, pairs: DataFrame, feature_set: str, label: bool,
              as_of: str = DEFAULT_AS_OF, side: DataFrame | None = None, carry: tuple[str, ...] = ()
              ) -> DataFrame:
+    if side is None:
+        side = _side(inp, feature_set)
     return FT.feature_table(pairs, inp.user, inp.business, inp.review, inp.photo, inp.tip,
                             feature_set=feature_set, as_of=as_of, label="stars" if label else None,
                             side=side, carry=carry)
@@ -100,7 +117,7 @@ def features(inp: Inputs, pairs: DataFrame, feature_set: str, label: bool,
 def _train_val_features(inp: Inputs, feature_set: str, as_of: str, carry: tuple[str, ...] = ()
                         ) -> tuple[DataFrame, DataFrame]:
     """Train and validation feature tables over one shared business-side table."""
-    side = FT.business_side(inp.business, inp.review, inp.photo, inp.tip, feature_set)
+    side = _side(inp, feature_set)
     return (features(inp, inp.train_raw, feature_set, True, as_of, side, carry),
             features(inp, inp.val, feature_set, False, as_of, side))
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ratesmith.functions import scalars as fx
+from ratesmith.operators import encoders as EN
 from ratesmith.operators import neighbors as NB
 from ratesmith.plans.registry import register
 from ratesmith.session import scratch_path
@@ -59,6 +60,30 @@ def q_scan_json_fields(spark, sf_dir):
     return RD.read_json(spark, path, S.BUSINESS_SCHEMA, fields=JSON_FIELDS)
 
 
+_KEYED_CITY = """SELECT business_id, CASE WHEN city IS NULL AND business_id % 2 = 1 THEN 'Unknown'
+                                     ELSE city END AS city FROM f_business"""
+
+
+@register("scan_json_keys", f"""
+    SELECT CAST(k.business_id AS VARCHAR) AS business_id, k.city, coalesce(c.code, -1) AS city_code
+    FROM ({_KEYED_CITY}) k
+    LEFT JOIN (SELECT v, CASE WHEN v = 'Unknown' THEN -1 ELSE row_number() OVER (ORDER BY v) - 1 END AS code
+               FROM (SELECT DISTINCT city AS v FROM ({_KEYED_CITY}) z
+                     WHERE city IS NOT NULL AND city <> 'None') d) c ON c.v = k.city""")
+def q_scan_json_keys(spark, sf_dir):
+    """S1 + W1: a missing city reads as 'Unknown', a null one as NULL; both get
+    -1, and only the former puts 'Unknown' into the vocabulary.  Businesses
+    with an even id are written with their null keys, others without."""
+    b = dataset(spark, sf_dir).business
+    path = scratch_path(spark, "business-keys")
+    for rest, ignore in ((0, False), (1, True)):
+        (b.where(F.col("business_id") % 2 == rest).withColumn("business_id", F.col("business_id").cast("string"))
+         .write.option("ignoreNullFields", ignore).json(f"{path}/{rest}"))
+    read = RD.read_json_keys(spark, path + "/*", S.BUSINESS_SCHEMA, absent={"city": "Unknown"},
+                             required=S.REQUIRED["business"])
+    return EN.sentinel_encode(read.select("business_id", "city"), "city", "city_code", null_as=None)
+
+
 @register("scan_csv", """
     SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(business_id AS VARCHAR) AS business_id, stars
     FROM f_train_raw""", doubles=("stars",))
@@ -70,6 +95,21 @@ def q_scan_csv(spark, sf_dir):
     return RD.read_ratings(spark, path)
 
 
+@register("scan_csv_headers", """
+    SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(business_id AS VARCHAR) AS business_id, stars
+    FROM f_train_raw""", doubles=("stars",))
+def q_scan_csv_headers(spark, sf_dir):
+    """S3: ratings CSV whose header line stands in the first file and again
+    among the rows (behind those of every user with an id divisible by 10)."""
+    path, header = scratch_path(spark, "train-headers"), "user_id,business_id,stars"
+    raw = dataset(spark, sf_dir).train_raw
+    line = F.concat_ws(",", "user_id", "business_id", F.coalesce(F.col("stars").cast("string"), F.lit("")))
+    again = F.when(F.col("user_id") % 10 == 0, F.array(line, F.lit(header))).otherwise(F.array(line))
+    spark.createDataFrame([(header,)], "value string").write.text(path + "/0")
+    raw.select(F.explode(again).alias("value")).write.text(path + "/1")
+    return RD.read_ratings(spark, path + "/*")
+
+
 @register("csv_min_columns", """
     SELECT 'user_id' AS c0, 'business_id' AS c1, 'stars' AS c2
     UNION ALL

@@ -105,6 +105,24 @@ def q_user_rating_map(spark, sf_dir):
     return NB.rating_map_long(d.train, d.train_raw)
 
 
+@register("user_rating_maps", "SELECT user_id, business_id, stars FROM f_train", doubles=("stars",))
+def q_user_rating_maps(spark, sf_dir):
+    """Every entry of the users' rating maps."""
+    maps = NB.rating_maps(dataset(spark, sf_dir).train)
+    return maps.select("user_id", F.explode("ratings").alias("business_id", "stars"))
+
+
+@register("map_lookup", """
+    SELECT v.user_id, v.business_id, t.stars FROM f_val v
+    LEFT JOIN f_train t ON t.user_id = v.user_id AND t.business_id = v.business_id
+    UNION ALL SELECT user_id, business_id, stars FROM f_train""", doubles=("stars",))
+def q_map_lookup(spark, sf_dir):
+    """Ratings of validation and training pairs looked up in the users' maps."""
+    d = dataset(spark, sf_dir)
+    pairs = [p.select("user_id", "business_id") for p in (d.val_pairs, d.train)]
+    return NB.map_ratings(pairs[0].union(pairs[1]), NB.rating_maps(d.train))
+
+
 @register("warm_pairs_semi", """
     SELECT v.user_id, v.business_id FROM f_val v
     WHERE EXISTS (SELECT 1 FROM f_train_raw t WHERE t.user_id = v.user_id)
@@ -167,6 +185,14 @@ def q_corated_users(spark, sf_dir):
     return reduce(lambda p, q: p.unionByName(q), parts)
 
 
+@register("corated_counts", "SELECT target, rated, n AS n_corated FROM f_sim")
+def q_corated_counts(spark, sf_dir):
+    """Common raters of every needed item pair, from rater bitmaps."""
+    d = dataset(spark, sf_dir)
+    needed = NB.needed_item_pairs(NB.candidate_pairs(d.val_pairs, d.train))
+    return NB.corated_counts(needed, d.train).withColumnRenamed("n", "n_corated")
+
+
 @register("item_similarity", "SELECT target, rated, n, similarity FROM f_sim", doubles=("similarity",))
 def q_item_similarity(spark, sf_dir):
     """A9 + F13: co-rated Pearson similarity with fallbacks, per needed pair."""

@@ -133,3 +133,34 @@ def test_pruned_sums_are_those_of_all_pairs(spark):
     both = [sorted(map(tuple, NB.corated_stats(needed, ratings, 4, pruned).collect()), key=repr)
             for pruned in (True, False)]
     assert both[0] == both[1] and any(r[2] > 0 for r in both[0])
+
+
+def test_rater_bitmaps_count_common_raters(spark):
+    """Users past one word, and items without raters, against plain sets."""
+    rows = [(f"u{i}", j, 1.0) for i in range(200) for j in range(6) if i % (j + 1) == 0] + [("u3", 9, 2.0)]
+    ratings = spark.createDataFrame(rows, "user_id string, business_id long, stars double")
+    raters = {}
+    for u, b, _ in rows:
+        raters.setdefault(b, set()).add(u)
+    pairs = [(a, b) for a in range(12) for b in range(12) if a != b]
+    needed = spark.createDataFrame([(str(a), b) for a, b in pairs] + [("x", 1)], "target string, rated long")
+    got = {(r.target, r.rated): r.n for r in NB.corated_counts(needed, ratings).collect()}
+    assert got == {(str(a), b): len(raters.get(a, set()) & raters.get(b, set())) for a, b in pairs} | {("x", 1): 0}
+    words = NB.rater_words(ratings)
+    assert words.filter("item = 0").count() == 4 and words.filter("bits = 0").isEmpty()
+
+
+def test_rating_maps_of_hot_keys_are_dealt(spark):
+    rows = [("hot", j, float(j % 5 + 1)) for j in range(1000)] + [("u", 7, 2.0), ("v", None, 3.0)]
+    ratings = spark.createDataFrame(rows, "user_id string, business_id long, stars double")
+    maps = NB.rating_maps(ratings.dropna(), entries=100)
+    assert maps.filter("user_id = 'hot'").count() == 10
+    assert maps.agg({"pieces": "max"}).first()[0] == 10
+    assert max(len(r.ratings) for r in maps.collect()) < 200
+    entries = {(r.user_id, k): v for r in maps.collect() for k, v in r.ratings.items()}
+    assert entries == {(u, b): s for u, b, s in rows if b is not None}
+    asked = spark.createDataFrame([("hot", 5), ("hot", 5), ("hot", 2000), ("u", 7), ("w", 1), (None, None)],
+                                  "user_id string, business_id long")
+    got = sorted(map(str, (tuple(r) for r in NB.map_ratings(asked, maps).collect())))
+    assert got == sorted(map(str, [("hot", 5, 1.0), ("hot", 5, 1.0), ("hot", 2000, None), ("u", 7, 2.0),
+                                   ("w", 1, None), (None, None, None)]))

@@ -61,3 +61,13 @@ def test_profile_from_files(spark, folder):
     corr = PL.profile(inp).collect()
     assert len(corr) == 15
     assert all(r.corr is None or -1.0 - 1e-9 <= r.corr <= 1.0 + 1e-9 for r in corr)
+
+
+def test_absent_and_null_places_from_files(spark, folder):
+    """Keys left out by the writer count as 'Unknown', as null columns do."""
+    val = os.path.join(folder, "yelp_val.csv")
+    by_null, by_key = PL.load_files(spark, folder, val), PL.load_files(spark, folder, val, absent_place="Unknown")
+    assert by_key.business.filter("city is null").isEmpty() and not by_null.business.filter("city is null").isEmpty()
+    cols = ["user_id", "business_id", "biz_city_code", "biz_state_code"]
+    a, b = (PL.features(i, i.val, "fs23", False).select(*cols) for i in (by_null, by_key))
+    assert a.exceptAll(b).isEmpty() and a.count() == b.count()
