@@ -8,7 +8,9 @@ one wildcard, level by level, and a template is rejected when the share of
 blocked among its labelled urls, smoothed towards the share of all, is high.
 A template without enough labels is judged by its nearest ancestor on the
 host that has them, else by the longest beginning of its shape that has them
-over all hosts; roots say nothing about a path and are left out.
+over all hosts; roots say nothing about a path and are left out.  Across hosts
+the labels must come from several domains, and each domain counts alike, so
+what one site blocks says nothing about the others.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ Rule = tuple[str, str, str]
 #: Labelled urls that a branch needs to be compared with others, and the
 #: standard deviations from which two rates differ.
 MIN_LABELLED, DIFFERENT = 5, 2.0
+#: Domains whose labels a shape needs before it is judged across hosts.
+MIN_DOMAINS = 2
 #: Pseudo-labels of the prior, and the purity from which a template goes.
 PRIOR_LABELS, REJECT_PURITY = 4.0, 0.8
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -73,19 +77,30 @@ def _deepest(shapes: DataFrame, keys: Sequence[str], least: int) -> int:
     return depths.filter(F.col("n") >= least).agg(F.max("depth")).first()[0] or 0
 
 
-def _backed_off(nodes: DataFrame, keys: Sequence[str], depth: int, name: str) -> DataFrame:
-    """Labels of the deepest ancestor with MIN_LABELLED of them, the node itself
-    included, for nodes (keys, segments, n, b): struct ``name`` (level, n, b)."""
+def domain(host: Column) -> Column:
+    """The last two names of a host (no list of public suffixes is read)."""
+    return F.substring_index(host, ".", -2)
+
+
+def _backed_off(nodes: DataFrame, keys: Sequence[str], depth: int, name: str, min_domains: int) -> DataFrame:
+    """Labels of the deepest ancestor with MIN_LABELLED of them from
+    ``min_domains`` domains, the node itself included, for nodes (keys, domain,
+    segments, n, b): struct ``name`` (level, n, b), where b / n is the mean of
+    the domains' rates."""
     levels = nodes.filter(F.size("segments") > 0).withColumn("level", F.explode(F.sequence(
         F.lit(1), F.least(F.size("segments"), F.lit(max(depth, 1)))))).withColumn(
         "beginning", F.array_join(F.slice("segments", F.lit(1), F.col("level")), "/"))
-    labels = levels.filter("n > 0").groupBy(*keys, "level", "beginning").agg(
-        F.sum("n").alias("ln"), F.sum("b").alias("lb")).filter(F.col("ln") >= MIN_LABELLED)
+    labels = (levels.filter("n > 0").groupBy(*keys, "level", "beginning", "domain").agg(
+        F.sum("n").alias("dn"), F.sum("b").alias("db"))
+        .groupBy(*keys, "level", "beginning").agg(
+        F.sum("dn").alias("ln"), F.avg(F.col("db") / F.col("dn")).alias("rate"),
+        F.count(F.lit(1)).alias("domains"))
+        .filter((F.col("ln") >= MIN_LABELLED) & (F.col("domains") >= min_domains)))
     return (levels.join(labels, [*keys, "level", "beginning"]).groupBy(*keys, "segments").agg(
-        F.max(F.struct("level", F.col("ln").alias("n"), F.col("lb").alias("b"))).alias(name)))
+        F.max(F.struct("level", F.col("ln").alias("n"), (F.col("rate") * F.col("ln")).alias("b"))).alias(name)))
 
 
-def path_templates(urls: DataFrame) -> DataFrame:
+def path_templates(urls: DataFrame, min_domains: int = MIN_DOMAINS) -> DataFrame:
     """Templates of urls (host, shape, blocked: 1, 0 or null).
 
     Returns host, shape, template, labelled, blocked: of the template, or of
@@ -131,26 +146,30 @@ def path_templates(urls: DataFrame) -> DataFrame:
     state = cut_lineage(state.withColumn("template", F.when(F.size(rest) > 0, F.concat(
         "template", F.lit("/"), F.array_join(rest, "/"))).otherwise(F.col("template"))))
     depth = _deepest(shapes, [], MIN_LABELLED)
-    templates = state.groupBy(*node).agg(F.sum("n").alias("n"), F.sum("b").alias("b")).withColumn(
-        "segments", F.split(F.substr("template", F.lit(2)), "/", -1))
-    on_host = templates.join(_backed_off(templates, ["host"], depth, "near"), ["host", "segments"], "left")
-    everywhere = _backed_off(shapes.groupBy(F.col("shape").alias("segments")).agg(
-        F.sum("n").alias("n"), F.sum("b").alias("b")), [], depth, "far").withColumnRenamed("segments", "shape")
-    judged = F.when(F.col("n") >= MIN_LABELLED, F.struct("n", "b")).otherwise(F.coalesce(
+    templates = state.groupBy(*node).agg(F.sum("n").alias("n"), F.sum("b").cast("double").alias("b")).withColumn(
+        "segments", F.split(F.substr("template", F.lit(2)), "/", -1)).withColumn("domain", domain(F.col("host")))
+    on_host = templates.join(_backed_off(templates, ["host"], depth, "near", 1), ["host", "segments"], "left")
+    everywhere = _backed_off(
+        shapes.groupBy(domain(F.col("host")).alias("domain"), F.col("shape").alias("segments")).agg(
+            F.sum("n").alias("n"), F.sum("b").alias("b")),
+        [], depth, "far", min_domains).withColumnRenamed("segments", "shape")
+    own = F.struct("n", "b")
+    judged = F.when(F.col("n") >= MIN_LABELLED, own).otherwise(F.coalesce(
         *[F.when(F.col(c).isNotNull(), F.struct(F.col(c)["n"].alias("n"), F.col(c)["b"].alias("b")))
-          for c in ("near", "far")], F.struct("n", "b")))
+          for c in ("near", "far")], own))
     return (state.select("host", "shape", "template").join(on_host, node).join(everywhere, "shape", "left")
             .withColumn("judged", judged).select("host", "shape", "template", F.col("judged")["n"].alias("labelled"),
                                                  F.col("judged")["b"].alias("blocked")))
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id",
-                url_col: str = "url") -> DataFrame:
+                url_col: str = "url", min_domains: int = MIN_DOMAINS) -> DataFrame:
     """Return page_id, host, path, rule, verdict, template, purity, labelled: a row per row.
 
     ``verdict`` is the longest fitting rule's, else block for a template whose
     smoothed purity reaches REJECT_PURITY on MIN_LABELLED labels or more, its
-    own, an ancestor's or its shape's over all hosts (``labelled``), else allow.  Null urls and urls without "://" have empty host and path, fit no
+    own, an ancestor's or its shape's over all hosts (``labelled``; these from
+    ``min_domains`` domains), else allow.  Null urls and urls without "://" have empty host and path, fit no
     rule and are judged like others (host ""); repeated rows are kept; other
     columns are ignored; an empty table gives an empty result.
     """
@@ -163,7 +182,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id"
               .withColumn("blocked", (F.col("ruled") == "block").cast("int")).drop("url"))
     prior = judged.agg(F.coalesce(F.avg("blocked"), F.lit(0.0)).alias("prior"))
     # one row: the share of blocked among all labelled urls
-    templates = path_templates(judged).crossJoin(F.broadcast(prior)).withColumn(
+    templates = path_templates(judged, min_domains).crossJoin(F.broadcast(prior)).withColumn(
         "purity", (F.col("blocked") + PRIOR_LABELS * F.col("prior"))
         / (F.col("labelled") + PRIOR_LABELS))
     rejected = (F.col("labelled") >= MIN_LABELLED) & (F.col("purity") >= REJECT_PURITY)

@@ -152,16 +152,26 @@ def test_templates_reject_by_purity(spark):
 
 
 def test_labels_reach_unruled_urls(spark):
-    """By an ancestor on the host, else by the shape over all hosts."""
-    rules = (("a.org", "/x/spam", "block"), ("a.org", "/y/", "allow"), ("b.org", "/deal/", "block"))
-    pages = ([f"http://a.org/x/spam{i}/" for i in "bcdefghijk"] + [f"http://a.org/y/{i}" for i in range(9)]
-             + [f"http://b.org/deal/{i}" for i in range(30)]
-             + ["http://a.org/x/other", "http://c.org/deal/77", "http://c.org/y/5", "http://c.org/z"])
+    """By an ancestor on the host, else by the shape over all hosts, if several
+    domains label it; each of them counts alike."""
+    rules = (("a.org", "/x/spam", "block"), ("a.org", "/y/", "allow"), ("b.org", "/deal/", "block"),
+             ("d.org", "/deal/", "block"), ("b.org", "/one/", "block"), ("b.org", "/odd/", "block"),
+             ("d.org", "/odd/", "allow"), ("d.org", "/y/", "allow"))
+    pages = ([f"http://a.org/x/spam{i}/" for i in "bcdefghijk"] + [f"http://a.org/y/{i}" for i in range(8)]
+             + ["http://d.org/y/1"] + [f"http://{i}.b.org/deal/{i}" for i in range(20)]
+             + [f"http://d.org/deal/{i}" for i in range(10)] + [f"http://{i}.b.org/one/{i}" for i in range(30)]
+             + [f"http://b.org/odd/{i}" for i in range(200)] + [f"http://d.org/odd/{i}" for i in range(6)]
+             + ["http://a.org/x/other", "http://c.org/deal/77", "http://c.org/y/5", "http://c.org/z",
+                "http://c.org/one/5", "http://c.org/odd/5"])
     table = spark.createDataFrame(list(enumerate(pages)), "page_id long, url string")
     got = {(r.host + r.path): (r.verdict, r.labelled) for r in
            urls.filter_urls(table, rules).filter("rule is null").collect()}
-    assert got == {"a.org/x/other": ("block", 10), "c.org/deal/77": ("block", 30),
-                   "c.org/y/5": ("allow", 9), "c.org/z": ("allow", 0)}
+    assert got == {"a.org/x/other": ("block", 10), "c.org/deal/77": ("block", 30), "c.org/y/5": ("allow", 9),
+                   "c.org/z": ("allow", 0),
+                   "c.org/one/5": ("allow", 0),     # labels of one domain, on many of its hosts
+                   "c.org/odd/5": ("allow", 206)}   # half blocked by domains, whatever their sizes
+    alone = urls.filter_urls(table, rules, min_domains=1).filter("path = '/one/5' and host = 'c.org'").first()
+    assert (alone.verdict, alone.labelled) == ("block", 30)
 
 
 def test_pages_without_rule_are_judged_by_labels(spark):
