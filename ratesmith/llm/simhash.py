@@ -19,7 +19,7 @@ forest of the links it found, never the pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -71,18 +71,20 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle: int = 4) -> DataFrame:
-    """Return doc_id and its fingerprint as a signed long (null text: 0)."""
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = source.schema["doc_id"].dataType.simpleString()
+                 shingle: int = 4, carry: Sequence[str] = ()) -> DataFrame:
+    """Return doc_id and its fingerprint as a signed long (null text: 0), and
+    the columns of ``carry``."""
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *carry)
+    kept = ["doc_id", *carry]
+    kinds = ", ".join(f"{c} {source.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t.as_py(), shingle) for t in batch["text"]], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+                [*(batch[c] for c in kept), pa.array(fps.view(np.int64))], names=[*kept, "fp"])
 
-    return source.mapInArrow(run, f"doc_id {kind}, fp long")
+    return source.mapInArrow(run, f"{kinds}, fp long")
 
 
 def embed(fps: np.ndarray) -> np.ndarray:
@@ -220,9 +222,12 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = 4,
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = 4, max_bits: int = 4) -> DataFrame:
+                    shingle: int = 4, max_bits: int = 4, carry: Sequence[str] = ()) -> DataFrame:
     """Return doc_id, fp (signed long), component_id: one row per input row.
 
+    With ``carry``, columns of ``docs`` to pass on, also ``root``: one
+    fingerprint of the component, which names it even if ids repeat.
+
     Documents link when their fingerprints differ in at most ``max_bits``;
     component_id is the smallest doc_id reachable, itself included (a null id
     only if the component has no other).  Null and empty texts, and those
@@ -230,11 +235,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are documents with equal fingerprints.  Other columns are ignored; an
     empty table gives an empty result.
     """
-    marked = cut_lineage(fingerprints(docs, id_col, text_col, shingle))
+    marked = cut_lineage(fingerprints(docs, id_col, text_col, shingle, carry))
     classes = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("low")))
     comp = connected_components(fingerprint_links(classes, max_bits))
     members = (classes.join(comp.withColumnRenamed("node", "fp"), "fp", "left")
                .withColumn("root", F.coalesce("root", "fp")))
     smallest = members.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = members.join(smallest, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = members.join(smallest, "root").select("fp", "component_id", "root")
+    return marked.join(named, "fp").select("doc_id", "fp", "component_id", *carry, *(["root"] if carry else []))

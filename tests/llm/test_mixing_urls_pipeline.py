@@ -219,6 +219,19 @@ def test_stages_handle_odd_rows(spark, folder, odd, clashing, empty):
     assert corpus_pipeline.reject_toxic(spark, odd, folder(odd)).count() == odd.count()
 
 
+def test_near_duplicates_go_by_row(spark):
+    """Repeated and null ids: one row of each component stays, whatever its id."""
+    words = [" ".join(f"{stem}{i * 7919 % 997}" for i in range(40)) for stem in "abcd"]
+    table = spark.createDataFrame(
+        [(1, words[0]), (5, words[0]), (1, words[1]), (0, words[1]),   # id 1 has two texts
+         (7, words[2]), (7, words[2]),                                 # a repeated row
+         (None, words[0]), (None, words[3]), (None, words[3])],
+        "doc_id long, text string").selectExpr("doc_id", "text", "'en' lang", "'s' source", "1L n_chars")
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, table, "").collect()),
+                 key=repr)
+    assert got == sorted([(1, words[0]), (0, words[1]), (7, words[2]), (None, words[3])], key=repr)
+
+
 def test_pipeline_run(spark):
     got = QUERIES_OF_ENTRY()["pipeline"](spark, SF001)
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
