@@ -32,15 +32,18 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each SimHash component: that with the smallest id.
-    Of rows with one id, and of those with no id but one text, one stays."""
+    """Keep one row of each SimHash component: that with the smallest id, rows
+    without one last; of texts with that id, the one of the smallest hash.  Rows
+    are told apart by id and text, so ids may repeat."""
     ready(spark)
-    found = simhash.near_duplicates(docs, shingle=4, max_bits=4)
-    kept = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("kept")).distinct())
-    unnamed = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
-    once = Window.partitionBy("doc_id", unnamed).orderBy(F.xxhash64("text"))
-    return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi")
+    rows = docs.select(*COLUMNS, F.xxhash64("text").alias("text_hash"))
+    found = simhash.near_duplicates(rows, shingle=4, max_bits=4, carry=("text_hash",))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash"))
+    kept = found.groupBy("root").agg(first.alias("row")).select(
+        F.col("row.doc_id").alias("kept"), F.col("row.text_hash").alias("kept_hash"))
+    once = Window.partitionBy("doc_id", "text_hash").orderBy("lang", "source", "n_chars")
+    return (rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept"))
+                      & (F.col("text_hash") == F.col("kept_hash")), "left_semi")
             .withColumn("nth", F.row_number().over(once)).filter("nth = 1").select(*COLUMNS))
 
 
