@@ -154,13 +154,26 @@ def category_vocab(df: DataFrame, col: str = "categories") -> DataFrame:
     return consecutive_index(labels, ["value"], "code")
 
 
-def category_pairs(df: DataFrame, key: str, col: str = "categories") -> DataFrame:
+def category_pairs(df: DataFrame, key: str, col: str = "categories",
+                   vocab: DataFrame | None = None) -> DataFrame:
     """M2 (sparse long form): one row per (key, present label, label index).
 
     A multi-label one-hot matrix is mostly zeros; its non-zero cells are this
-    table.  Set semantics: a label repeated in one row counts once.
+    table.  Set semantics: a label repeated in one row counts once.  With a
+    ``vocab`` of other rows, labels outside it have no cell.
     """
-    vocab = category_vocab(df, col)
+    vocab = category_vocab(df, col) if vocab is None else vocab
     cells = df.select(key, F.explode(F.array_distinct(token_list(col))).alias("value"))
     return cells.join(vocab, "value").select(key, F.col("value").alias("category"),
                                              F.col("code").alias("category_index"))
+
+
+def category_arrays(df: DataFrame, key: str, col: str = "categories",
+                    vocab: DataFrame | None = None) -> DataFrame:
+    """M2 (sparse rows): (key, labels), the sorted indices of a key's labels.
+
+    A key's labels come from one text, so no array outgrows its row; keys
+    without a known label have no row.
+    """
+    return category_pairs(df, key, col, vocab).groupBy(key).agg(
+        F.array_sort(F.collect_set(F.col("category_index").cast("int"))).alias("labels"))

@@ -195,6 +195,14 @@ def penalised_search(inp: Inputs, grid: dict[str, list] = BO.FULL_GRID, feature_
     return BO.predict(found.model, va), found
 
 
+def onehot_model(inp: Inputs, params: BO.Params = BO.PENALISED["notebook"],
+                 as_of: str = DEFAULT_AS_OF) -> DataFrame:
+    """The notebook's model on its whole feature set (FS-EDA with one-hot
+    categories): fit on train, predict val."""
+    tr, va, _ = PR.eda_sparse(inp.train_raw, inp.val, inp.business, inp.user, as_of)
+    return BO.predict(BO.fit(tr, PR.EDA_FEATURES, params, labels="labels"), va)
+
+
 def profile(inp: Inputs, as_of: str = DEFAULT_AS_OF) -> DataFrame:
     """Q6: correlation of the profiling features with the rating."""
     eda = PR.eda_features(inp.train_raw, inp.business, inp.user, as_of)

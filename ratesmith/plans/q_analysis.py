@@ -326,6 +326,37 @@ def q_onehot_correlation(spark, sf_dir):
     return PR.onehot_correlations(eda, EN.category_pairs(d.business, "business_id"), "business_id", _MATRIX_COLS)
 
 
+def _eda_vector_sql() -> str:
+    numbers = "\n UNION ALL ".join(
+        f"SELECT user_id, business_id, {i} AS i, {c} AS x FROM f_eda WHERE coalesce({c}, 0) <> 0"
+        for i, c in enumerate(PR.EDA_FEATURES))
+    at = len(PR.EDA_FEATURES)
+    return f"""
+    WITH b AS (SELECT DISTINCT business_id, categories FROM f_wide),
+    cat AS (SELECT DISTINCT business_id, trim(u.x) AS value
+            FROM b, unnest(string_split(coalesce(categories, ''), ',')) u(x) WHERE trim(u.x) <> ''),
+    v AS (SELECT value, row_number() OVER (ORDER BY value) - 1 AS code FROM (SELECT DISTINCT value FROM cat) d),
+    cells AS ({numbers}
+      UNION ALL SELECT e.user_id, e.business_id, {at} + v.code, 1.0
+      FROM f_eda e JOIN cat USING (business_id) JOIN v USING (value))
+    SELECT user_id, business_id, CAST(i AS BIGINT) AS feature, CAST(x AS DOUBLE) AS value,
+           CAST(count(*) AS BIGINT) AS n_rows, CAST({at} + (SELECT count(*) FROM v) AS BIGINT) AS size
+    FROM cells GROUP BY user_id, business_id, i, x"""
+
+
+@register("features_eda_sparse", _eda_vector_sql(), doubles=("value",))
+def q_features_eda_sparse(spark, sf_dir):
+    """P12 + M2: non-zero cells of the sparse FS-EDA vectors (equal cells of repeated pairs counted)."""
+    d = dataset(spark, sf_dir)
+    train, _, vocab = PR.eda_sparse(d.train_raw, d.val_pairs, d.business, d.user)
+    vectors = PR.sparse_vectors(train, PR.EDA_FEATURES, vocab).select(
+        "user_id", "business_id", "vector.size",
+        F.explode(F.arrays_zip("vector.indices", "vector.values")).alias("c"))
+    return (vectors.groupBy("user_id", "business_id", F.col("c.indices").cast("long").alias("feature"),
+                            F.col("c.values").alias("value"), "size")
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
 @register("membership_years", f"""
     SELECT user_id, {_membership_sql('yelping_since')} AS years_full,
            {_membership_sql('substr(yelping_since, 1, 7)')} AS years_month,

@@ -47,7 +47,7 @@ def test_every_query_has_docs_and_runs_without_oracle(spark):
     no_oracle = set(qs) - set(oracle_strings())
     assert no_oracle <= {"gbt_fs7", "gbt_fs20", "gbt_fs23", "gbt_fs23_log", "pipeline_model",
                          "pipeline_full", "pipeline_hybrid", "gbt_grid", "gbt_fs23_penalised",
-                         "gbt_grid_staged"}
+                         "gbt_grid_staged", "gbt_eda_onehot"}
     for name, fn in qs.items():
         assert fn.__doc__, name
 
