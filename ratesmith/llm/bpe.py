@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,8 +39,9 @@ CACHE_BYTES, CACHE_CHARS = 64 << 20, 64
 #: Bytes that a remembered pre-token takes besides its ids, about: its text,
 #: the ids' object and its place in the table.
 _ENTRY_BYTES = 200
-#: Rows encoded and handed on at a time.
-ROWS_AT_ONCE = 512
+#: Characters and ids of the rows (one at least) worked on and handed on at a
+#: time, so that a worker never holds a whole Arrow batch in several forms.
+AT_ONCE = 1 << 20
 #: Pre-tokens above this many bytes are merged with a heap.
 HEAP_BYTES = 256
 #: Ids whose bytes are gathered at a time.
@@ -162,6 +164,26 @@ def _pieces(batches: Iterator[pa.RecordBatch], chunk: int, overlap: int) -> Iter
                     "text": [text[start:at + chunk + overlap]]})
 
 
+def _slices(batch: pa.RecordBatch, sizes: Iterable[int]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose sizes add up to AT_ONCE at most, or of one row."""
+    start, held = 0, 0
+    for row, size in enumerate(sizes):
+        if row > start and held + size > AT_ONCE:
+            yield batch.slice(start, row - start)
+            start, held = row, 0
+        held += size
+    if batch.num_rows:
+        yield batch.slice(start)
+
+
+def _by_length(batches: Iterator[pa.RecordBatch], col: str) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches by the lengths of a text or list column."""
+    for batch in batches:
+        data = batch[col]
+        found = pc.list_value_length(data) if pa.types.is_list(data.type) else pc.utf8_length(data)
+        yield from _slices(batch, found.to_pylist())
+
+
 def _ids_batch(keys: pa.Array, ids: list[np.ndarray], name: str) -> pa.RecordBatch:
     offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
     flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
@@ -191,15 +213,13 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = encoder(ranks_path, pattern).encode
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                some = batch.slice(at, ROWS_AT_ONCE)
-                ids = [run(t.as_py()) for t in some["text"]]
-                out = _ids_batch(some[0], ids, some.schema.names[0])
-                if decoded and some.schema.names[0] == "doc_id":
-                    out = out.append_column("decoded", pa.array(
-                        [decode_ids(i, ranks_path) for i in ids], pa.binary()))
-                yield out
+        for some in _by_length(batches, "text"):
+            ids = [run(t.as_py()) for t in some["text"]]
+            out = _ids_batch(some[0], ids, some.schema.names[0])
+            if decoded and some.schema.names[0] == "doc_id":
+                out = out.append_column("decoded", pa.array(
+                    [decode_ids(i, ranks_path) for i in ids], pa.binary()))
+            yield out
 
     is_long = F.char_length("text") > chunk_chars
     short = source.filter(~is_long).mapInArrow(
@@ -212,7 +232,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
               .repartition("key", "no"))
 
     def zones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _by_length(batches, "text"):
             head, tail = [], []
             for no, total, start, text in zip(*(batch[c].to_pylist() for c in (
                     "no", "total", "start", "text")), strict=True):
@@ -238,7 +258,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = encoder(ranks_path, pattern)
-        for batch in batches:
+        for batch in _by_length(batches, "text"):
             ids = []
             for text, start, lo, hi in zip(*(batch[c].to_pylist() for c in (
                     "text", "start", "from", "to")), strict=True):
@@ -304,7 +324,7 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id",
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _by_length(batches, "ids"):
             out = [decode_ids(i.values.to_numpy(), ranks_path) for i in batch["ids"]]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["ids"], pa.array(out, pa.binary())],
