@@ -143,9 +143,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 names=["doc_id", "confirmed", "names"])
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    bags = (source.join(chosen, "doc_id").dropna()
-            .mapInArrow(spread, f"doc_id {kind}, confirmed boolean, names array<string>"))
-    n_p, n_u = bags.agg(F.count_if("confirmed"), F.count_if(~F.col("confirmed"))).first()
+    chosen_texts = source.join(chosen, "doc_id").dropna()
+    bags = chosen_texts.mapInArrow(spread, f"doc_id {kind}, confirmed boolean, names array<string>")
+    n_p, n_u = chosen_texts.agg(F.count_if("confirmed"), F.count_if(~F.col("confirmed"))).first()
     n_p, n_u = max(1, n_p), max(1, n_u)
     rate_p, rate_u = F.col("p") / n_p, (F.col("u") + 0.5) / n_u
     noise = F.sqrt(rate_u * n_p)
@@ -158,14 +158,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     names = sorted(r["name"] for r in kept.select("name").toLocalIterator())
     index = {name: i for i, name in enumerate(names)}
 
+    # from the texts again: on top of the bags it would hold two workers a task
     def to_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hits = [[index[n] for n in found.as_py() if n in index] for found in batch["names"]]
+            hits = [sorted(index[n] for n in features(t.as_py()) if n in index) for t in batch["text"]]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["confirmed"], pa.array(hits, pa.list_(pa.int32()))],
                 names=["doc_id", "confirmed", "hits"])
 
-    rows = bags.mapInArrow(to_rows, f"doc_id {kind}, confirmed boolean, hits array<int>")
+    rows = chosen_texts.mapInArrow(to_rows, f"doc_id {kind}, confirmed boolean, hits array<int>")
     # a member leaves out every members-th document; a bag has bounded rows
     dealt = rows.withColumn("member", F.explode(F.sequence(F.lit(0), F.lit(members - 1)))).filter(
         (F.lit(members) == 1) | (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(members))
