@@ -66,6 +66,19 @@ def test_long_pieces_merge_alike():
         assert bpe.merge(piece, ranks) == bpe._merge_long(piece, ranks)
 
 
+def test_slices_hold_every_row_once(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(bpe, "AT_ONCE", 10)
+    texts = ["", "aaaa", "bbbbbb", "c", "d" * 50, "", "é" * 10, "f"]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "ids": [list(range(len(x))) for x in texts]})
+    for col in ("text", "ids"):
+        parts = list(bpe._by_length(iter([batch, batch.slice(0, 0)]), col))
+        assert [x for p in parts for x in p["text"].to_pylist()] == texts
+        assert [x for p in parts for x in p["ids"].to_pylist()] == batch["ids"].to_pylist()
+        sizes = [sum(map(len, p["text"].to_pylist())) for p in parts]
+        assert all(n <= 10 or sum(map(bool, p["text"].to_pylist())) == 1 for n, p in zip(sizes, parts))
+
+
 def test_encoding_odd_rows(spark, odd, clashing, empty):
     run = lambda df: bpe.encode(df, RANKS, public_tokenizers.PATTERN)
     got = rows(run(odd))
