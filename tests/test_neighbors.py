@@ -164,3 +164,28 @@ def test_rating_maps_of_hot_keys_are_dealt(spark):
     got = sorted(map(str, (tuple(r) for r in NB.map_ratings(asked, maps).collect())))
     assert got == sorted(map(str, [("hot", 5, 1.0), ("hot", 5, 1.0), ("hot", 2000, None), ("u", 7, 2.0),
                                    ("w", 1, None), (None, None, None)]))
+
+
+@pytest.mark.parametrize("block", [4, 256])
+def test_cells_sum_what_the_plain_path_sums(spark, monkeypatch, block):
+    """Many co-ratings are summed by item groups: same sums, and counts from bitmaps."""
+    rnd = random.Random(6)
+    ratings = spark.createDataFrame(
+        [(u, b, float(rnd.randrange(1, 6)) if b else None) for u in range(80) for b in rnd.sample(range(50), 11)]
+        + [(900, b, 2.0) for b in range(50)] + [(1, None, 3.0)], "user_id long, business_id long, stars double")
+    asked = [(t, r) for t in range(0, 60, 3) for r in range(50) if t != r] + [(None, 3), (4, None)]
+    number = spark.createDataFrame(asked * 2, "target long, rated long")
+    text = spark.createDataFrame([(None if t is None else str(t), r) for t, r in asked] + [("none", 1)],
+                                 "target string, rated long")
+    assert NB.item_groups(ratings) == 1
+
+    def rows(df):
+        return sorted(map(tuple, df.collect()), key=repr)
+
+    plain = [rows(NB.corated_stats(n, ratings, block)) for n in (number, text)]
+    monkeypatch.setattr(NB, "CELL_ROWS", 100)
+    assert NB.item_groups(ratings) > 1
+    assert [rows(NB.corated_stats(n, ratings, block)) for n in (number, text)] == plain
+    for needed, stats in zip((number, text), plain):
+        assert rows(NB.corated_counts(needed, ratings, block)) == [r[:3] for r in stats]
+    assert any(r[2] > 5 for r in plain[0]) and len(plain[0]) == len(asked)

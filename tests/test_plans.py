@@ -55,3 +55,19 @@ def test_coratings_that_nobody_needs_are_dropped_before_the_sums(spark):
     prune = next(i for i, x in enumerate(lines) if "BroadcastNestedLoopJoin" in x and "words" in x
                  or "Filter" in x and "words" in x)
     assert partial < prune < next(i for i, x in enumerate(lines) if "Join" in x and "user_id" in x)
+
+
+def test_many_coratings_are_never_shuffled(spark, monkeypatch):
+    """Beyond one cell, neither co-ratings nor their sums nor bitmaps' meetings cross an exchange."""
+    monkeypatch.setattr(NB, "CELL_ROWS", 100)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        d = dataset(spark, SF001)
+        needed = NB.candidate_pairs(d.val_pairs, d.train).select("target", "rated")
+        plans = [plan_text(f(needed, d.train)).splitlines() for f in (NB.corated_stats, NB.corated_counts)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    for lines in plans:
+        first = next(i for i, x in enumerate(lines) if "Exchange" in x)
+        above = "".join(lines[:first])
+        assert "cell" in lines[first] and above.count("Generate posexplode") == 2 and "bit_or(way" in above
