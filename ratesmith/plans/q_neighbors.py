@@ -144,8 +144,9 @@ def q_warm_pairs(spark, sf_dir):
 def q_cold_start(spark, sf_dir):
     """J7 (anti): pairs with an unknown user or business, predicted 3.0."""
     d = dataset(spark, sf_dir)
-    users = d.train_raw.select("user_id")
-    items = d.train_raw.select("business_id")
+    # each id once: what a join holds grows with the ids, not the ratings
+    users = d.train_raw.select("user_id").distinct()
+    items = d.train_raw.select("business_id").distinct()
     v = d.val_pairs.select("user_id", "business_id")
     cold = (v.join(users, "user_id", "left_anti")
             .unionByName(v.join(items, "business_id", "left_anti"))).distinct()

@@ -71,3 +71,15 @@ def test_many_coratings_are_never_shuffled(spark, monkeypatch):
         first = next(i for i, x in enumerate(lines) if "Exchange" in x)
         above = "".join(lines[:first])
         assert "cell" in lines[first] and above.count("Generate posexplode") == 2 and "bit_or(way" in above
+
+
+def test_cold_start_joins_hold_each_id_once(spark):
+    """The anti-joins' right sides are distinct ids, not all ratings."""
+    from ratesmith.plans.registry import QUERIES
+    plan = QUERIES["cold_start_anti"](spark, SF001)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    joins = [i for i, x in enumerate(plan) if "Join LeftAnti" in x]
+    assert len(joins) == 2
+    for i in joins:
+        sides = [x for x in plan[i + 1:] if depth(x) == depth(plan[i]) + 3][:2]
+        assert "Aggregate" in sides[1], sides
