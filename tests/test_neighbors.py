@@ -189,3 +189,29 @@ def test_cells_sum_what_the_plain_path_sums(spark, monkeypatch, block):
     for needed, stats in zip((number, text), plain):
         assert rows(NB.corated_counts(needed, ratings, block)) == [r[:3] for r in stats]
     assert any(r[2] > 5 for r in plain[0]) and len(plain[0]) == len(asked)
+
+
+@pytest.mark.parametrize("block", [8])
+def test_cells_find_what_requested_pairs_need(spark, monkeypatch, block):
+    """Requests dealt with the ratings give the same pairs, sums, counts and neighbours as their rows do."""
+    rnd = random.Random(8)
+    ratings = spark.createDataFrame(
+        [(u, b, float(rnd.randrange(1, 6)) if b % 7 else None) for u in range(80) for b in rnd.sample(range(50), 11)]
+        + [(900, b, 2.0) for b in range(50)] + [(1, None, 3.0), (None, 4, 1.0)],
+        "user_id long, business_id long, stars double")
+    wanted = [(u, b) for u in [*range(0, 90, 2), 900] for b in rnd.sample(range(60), 4)]
+    pairs = spark.createDataFrame(wanted * 2 + [(2, None), (None, 3)], "user_id long, business_id long")
+    means = NB.entity_means(ratings, "business_id", "item_mean")
+
+    def found():
+        return [sorted(map(tuple, df.collect()), key=repr) for df in (
+            NB.pair_stats(pairs, ratings, block), NB.pair_counts(pairs, ratings, block),
+            NB.neighbors(pairs, ratings, means, 5, block=block).select(
+                "user_id", "target", "rated", "rating", "similarity", "weight", "rank"))]
+
+    plain = found()
+    monkeypatch.setattr(NB, "CELL_ROWS", 1000)
+    monkeypatch.setattr(NB, "LEAST_GROUPS", 3)
+    assert NB.item_groups(ratings) > 1
+    assert found() == plain
+    assert plain[1] == [r[:3] for r in plain[0]] and len(plain[2]) > 100

@@ -104,3 +104,19 @@ def test_boosting_reads_its_rows_from_one_table(spark, monkeypatch):
     rows = spark.range(40).selectExpr("cast(id % 7 as double) x", "cast(id % 3 as double) stars")
     BO.fit(rows, ["x"], BO.Params(trees=1, depth=1))
     assert seen[0] and all("training" in f for f in seen[0])
+
+
+def test_candidates_are_shuffled_only_to_their_user_and_target(spark, monkeypatch):
+    """Beyond one cell, candidates and similarities meet where the ratings were dealt, once."""
+    monkeypatch.setattr(NB, "CELL_ROWS", 100)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        d = dataset(spark, SF001)
+        plans = [plan_text(f(d.val_pairs, d.train, d.train_raw)) for f in (NB.predict, NB.item_similarity)]
+        plans.append(plan_text(NB.pair_counts(d.val_pairs, d.train)))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    for plan in plans:
+        exchanges = [x for x in plan.splitlines() if "Exchange" in x]
+        assert not any("hashpartitioning(target" in x or "hashpartitioning(rated" in x for x in exchanges)
+        assert sum("cell" in x and "Reused" not in x for x in exchanges) == 1
