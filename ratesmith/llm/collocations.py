@@ -36,6 +36,11 @@ SCALE, SUBSUMED = 2_000_000, 80
 _CLASSES = wa.byte_classes(b" \t", b".,;:!?\n\x0b\x0c\r")
 #: Words whose phrases are sorted at a time.
 _AT_ONCE = 1 << 18
+#: A word of over 1 in HOT_ONE_IN of all words is hot: the runs of its pairs
+#: are dealt by 2^HOT_BITS ranges of the last word's id too.
+HOT_ONE_IN, HOT_BITS = 1000, 6
+#: Phrases that a trie holds before it spills.
+SPILL_PHRASES = 1 << 19
 #: Texts taken from a batch at a time.
 _TEXTS = 512
 
@@ -70,7 +75,7 @@ def _keys(rows: np.ndarray) -> pa.Array:
 
 
 def _word_runs(texts: DataFrame, seed: int) -> DataFrame:
-    """(lang, word, key, n): runs of the counted words."""
+    """(lang, word, n): runs of the counted words."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, names = HatTrie(2), {}
 
@@ -78,8 +83,8 @@ def _word_runs(texts: DataFrame, seed: int) -> DataFrame:
             raw = rows.astype(">u8").tobytes()
             lang, word = zip(*[names.pop(raw[i:i + 16]) for i in range(0, len(raw), 16)], strict=True)
             return pa.RecordBatch.from_arrays(
-                [pa.array(lang, pa.string()), pa.array(word, pa.binary()).cast(pa.string()),
-                 _keys(rows[:, :1]), pa.array(counts)], names=["lang", "word", "key", "n"])
+                [pa.array(lang, pa.string()), pa.array(word, pa.binary()).cast(pa.string()), pa.array(counts)],
+                names=["lang", "word", "n"])
 
         for batch in batches:
             for data, starts, ends, ids, _, lang_of in _word_ids(batch, seed):
@@ -94,18 +99,44 @@ def _word_runs(texts: DataFrame, seed: int) -> DataFrame:
         for run in trie.drain():
             yield out(*run)
 
-    return texts.mapInArrow(count, "lang string, word string, key binary, n long")
+    return texts.mapInArrow(count, "lang string, word string, n long")
 
 
-def _phrase_runs(texts: DataFrame, seed: int, size: int, shorter) -> DataFrame:
-    """(head, last, n): runs of the counted phrases of ``size`` words whose
-    parts of one word less are in the bitmap ``shorter``."""
+def _keyed(words: DataFrame, seed: int) -> DataFrame:
+    """Distinct words with their ids as ``key``."""
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.RecordBatch.from_arrays([batch["word"], batch["lang"]], names=["text", "lang"])
+            ids = [found[3] for found in _word_ids(texts, seed)]  # each text is one word
+            if ids:
+                yield batch.append_column("key", _keys(np.concatenate(ids).reshape(-1, 1)))
+
+    return words.select("lang", "word", "n").mapInArrow(keys, "lang string, word string, n long, key binary")
+
+
+def _by_head(rows: np.ndarray, counts: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
+    """A sorted run as rows (head, part, lasts, counts): the phrases that share all
+    words but the last; of a hot word, those of one range of last words."""
+    last = rows[:, -1]
+    part = np.zeros(len(rows), np.int64)
+    if rows.shape[1] == 2 and len(hot):
+        split = np.isin(rows[:, 0], hot)
+        part[split] = last[split] >> np.uint64(64 - HOT_BITS)
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:, :-1] != rows[:-1, :-1]).any(axis=1) | (part[1:] != part[:-1])
+    first = np.flatnonzero(new)
+    offsets = pa.array(np.append(first, len(rows)), pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [_keys(rows[first, :-1]), pa.array(part[first]),
+         pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(last).view(np.int64))),
+         pa.ListArray.from_arrays(offsets, pa.array(counts))], names=["head", "part", "last", "n"])
+
+
+def _phrase_runs(texts: DataFrame, seed: int, size: int, shorter, hot: np.ndarray) -> DataFrame:
+    """(head, part, last, n): runs of the counted phrases of ``size`` words whose
+    parts of one word less are in the bitmap ``shorter``, by head (:func:`_by_head`)."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, bits = HatTrie(size), shorter.value
-
-        def out(rows: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [_keys(rows[:, :-1]), _keys(rows[:, -1:]), pa.array(counts)], names=["head", "last", "n"])
+        trie, bits = HatTrie(size, spill=SPILL_PHRASES), shorter.value
 
         for batch in batches:
             for _, _, _, ids, piece, _ in _word_ids(batch, seed):
@@ -116,19 +147,27 @@ def _phrase_runs(texts: DataFrame, seed: int, size: int, shorter) -> DataFrame:
                     at = np.flatnonzero((pieces[:n] == pieces[size - 1:]) & part[:n] & part[1:])
                     trie.add([words[at + i] for i in range(size)])
                     for run in trie.overflow():
-                        yield out(*run)
+                        yield _by_head(*run, hot)
         for run in trie.drain():
-            yield out(*run)
+            yield _by_head(*run, hot)
 
-    return texts.mapInArrow(count, "head binary, last binary, n long")
+    return texts.mapInArrow(count, "head binary, part long, last array<long>, n array<long>")
 
 
-def _merged(runs: DataFrame, size: int) -> DataFrame:
+def _merged(runs: DataFrame) -> DataFrame:
     """(key, n) of whole phrases: runs meet by prefix, that is by all words but
-    the last (of two words, by both), and are summed there."""
-    prefix = ["head", "last"] if size == 2 else ["head"]
-    return (runs.repartition(*prefix).groupBy("head", "last").agg(F.sum("n").alias("n"))
-            .select(F.concat("head", "last").alias("key"), "n"))
+    the last (and by a range of the last after a hot word), and are summed there."""
+    # a head's bytes cross the shuffle once a run, not once a phrase
+    each = runs.repartition("head", "part").select("head", "part", F.inline(F.arrays_zip("last", "n")))
+    key = F.concat("head", F.unhex(F.lpad(F.hex("last"), 16, "0")))
+    return each.groupBy("head", "part", "last").agg(F.sum("n").alias("n")).select(key.alias("key"), "n")
+
+
+def _hot_words(words: DataFrame) -> np.ndarray:
+    """Ids of the words that are over 1 in HOT_ONE_IN of all: fewer than that many."""
+    total = words.agg(F.sum("n").alias("all")).first()["all"] or 0
+    found = words.filter(F.col("n") * HOT_ONE_IN > total).select("key").collect()
+    return np.array([int.from_bytes(row.key) for row in found], np.uint64)
 
 
 def _bitmap(level: DataFrame) -> np.ndarray:
@@ -148,8 +187,8 @@ def vocabulary(texts: DataFrame) -> tuple[DataFrame, int]:
     """(lang, word, key, n) of every distinct word, and the ids' seed."""
     seed = 0
     while True:
-        words = cut_lineage(_word_runs(texts, seed).groupBy("lang", "word").agg(
-            F.min("key").alias("key"), F.sum("n").alias("n")))
+        # ids are taken again once the runs are merged: they would not compress in the shuffle
+        words = cut_lineage(_keyed(_word_runs(texts, seed).groupBy("lang", "word").agg(F.sum("n").alias("n")), seed))
         if words.groupBy("key").count().filter("count > 1").isEmpty():
             return words, seed
         seed += 1
@@ -205,9 +244,10 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     names = words.filter(F.col("n") >= min_count).select("key", "lang", "word", "n")
     levels = [names.select("key", "n")]
+    hot = _hot_words(words)
     for size in range(2, max_words + 1):
         shorter = spark.sparkContext.broadcast(_bitmap(levels[-1]))
-        levels.append(cut_lineage(_merged(_phrase_runs(texts, seed, size, shorter), size)
+        levels.append(cut_lineage(_merged(_phrase_runs(texts, seed, size, shorter, hot))
                                   .filter(F.col("n") >= min_count)))
         shorter.destroy()
     frequent, phrases = levels[0], None

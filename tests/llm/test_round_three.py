@@ -300,3 +300,26 @@ def test_audit_of_random_texts(spark):
 def test_items_digest_of_nothing(spark):
     got = QUERIES["op11_benchmark_decontamination"](spark, SF001).filter("n_items = 0").first()
     assert got.items_sha256 == hashlib.sha256(b"").hexdigest() and not got.contaminated
+
+
+def test_runs_hold_a_head_once_and_split_hot_words():
+    """A run's phrases go by head, those of a hot word by ranges of the last word too."""
+    from ratesmith.llm.collocations import HOT_BITS, _by_head
+    rows = np.array([[1, 5], [1, 2**63 + 1], [7, 3], [7, 4], [7, 2**63]], np.uint64)
+    batch = _by_head(rows, np.array([1, 2, 3, 4, 5], np.int64), np.array([7], np.uint64)).to_pydict()
+    assert [int.from_bytes(h) for h in batch["head"]] == [1, 7, 7]
+    assert batch["part"] == [0, 0, 2**(HOT_BITS - 1)]
+    assert batch["last"] == [[5, -2**63 + 1], [3, 4], [-2**63]] and batch["n"] == [[1, 2], [3, 4], [5]]
+
+
+def test_word_runs_cross_the_shuffle_without_ids(spark):
+    """Ids do not compress, so merged words get them anew; the same as the texts' words have."""
+    texts = spark.createDataFrame([("One two,one\tÜber", "en"), ("one two", "de"), ("", "en")], "text string, lang string")
+    assert "key" not in collocations._word_runs(texts, 0).columns
+    words, seed = collocations.vocabulary(texts)
+    assert sorted((r.lang, r.word, r.n) for r in words.collect()) == [
+        ("de", "one", 1), ("de", "two", 1), ("en", "one", 2), ("en", "two", 1), ("en", "Über", 1)]
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pylist([{"text": "one", "lang": "en"}])
+    (found,) = collocations._word_ids(batch, seed)
+    assert {bytes(r.key) for r in words.collect() if (r.lang, r.word) == ("en", "one")} == {int(found[3][0]).to_bytes(8)}
