@@ -215,3 +215,44 @@ def test_cells_find_what_requested_pairs_need(spark, monkeypatch, block):
     assert NB.item_groups(ratings) > 1
     assert found() == plain
     assert plain[1] == [r[:3] for r in plain[0]] and len(plain[2]) > 100
+
+
+@pytest.mark.parametrize("far", [1, 10**10])
+def test_cells_keep_wide_ids_and_uneven_ratings(spark, monkeypatch, far):
+    """Records hold narrow types only where these hold every value: ids past an int, halves, NaN and null stay."""
+    rnd = random.Random(9)
+    stars = [1.5, 4.0, 0.1, float("nan"), None, 200.0, -0.0]
+    ratings = spark.createDataFrame(
+        [(u * far, b * far, stars[rnd.randrange(7)] if b > 12 else float(rnd.randrange(1, 6)))
+         for u in range(60) for b in rnd.sample(range(40), 9)], "user_id long, business_id long, stars double")
+    pairs = spark.createDataFrame([(u * far, b * far) for u in range(0, 62, 2) for b in rnd.sample(range(42), 4)],
+                                  "user_id long, business_id long")
+    asked = spark.createDataFrame([(1, 2), (2, 1), (3, 10**15), (None, 1)], "target long, rated long")
+    means = NB.entity_means(ratings, "business_id", "item_mean")
+
+    def found():
+        return [sorted(map(repr, df.collect())) for df in (
+            NB.pair_stats(pairs, ratings).drop("sx", "sy", "sxx", "syy", "sxy"), NB.corated_counts(asked, ratings),
+            NB.neighbors(pairs, ratings, means, 50).select("user_id", "target", "rated", "rating"))]
+
+    plain = found()
+    monkeypatch.setattr(NB, "CELL_ROWS", 100)
+    assert found() == plain and len(plain[1]) == 4
+    kinds = NB._narrow_types(ratings.select("business_id", "stars"))
+    assert [kinds[c].simpleString() for c in ("business_id", "stars")] == ["int" if far == 1 else "bigint", "double"]
+    whole = ratings.where("stars between 1 and 5")
+    assert NB._narrow_types(whole.select("stars"))["stars"].simpleString() == "float"  # 1.5
+    assert NB._narrow_types(whole.where("stars % 1 = 0").select("stars"))["stars"].simpleString() == "tinyint"
+
+
+def test_many_coratings_of_few_pairs_take_few_groups(spark, monkeypatch):
+    rnd = random.Random(3)
+    few, many = [spark.createDataFrame(
+        [(u, b, 3.0) for u in range(400) for b in rnd.sample(range(n), 16)],
+        "user_id long, business_id long, stars double") for n in (20, 5000)]
+    monkeypatch.setattr(NB, "CELL_ROWS", 1000)
+    assert NB.item_groups(many) == 8 and NB.item_groups(few) == NB.FEW_GROUPS
+    assert NB.corated_pairs_estimate(few, 1) == 190
+    monkeypatch.setattr(NB, "SAMPLE_ROWS", 5000)
+    assert NB.item_groups(many) == 8 and NB.item_groups(few) == NB.FEW_GROUPS
+    assert 100 < NB.corated_pairs_estimate(few, 0.1) < 400

@@ -120,3 +120,33 @@ def test_candidates_are_shuffled_only_to_their_user_and_target(spark, monkeypatc
         exchanges = [x for x in plan.splitlines() if "Exchange" in x]
         assert not any("hashpartitioning(target" in x or "hashpartitioning(rated" in x for x in exchanges)
         assert sum("cell" in x and "Reused" not in x for x in exchanges) == 1
+
+
+def test_rating_queries_derive_the_ratings_once(spark, monkeypatch):
+    """Every reader of the ratings reads the one table of them, not lineitem again."""
+    from ratesmith.plans import load_all
+    from ratesmith.plans.registry import QUERIES
+    load_all()
+    for name in ("item_predictions", "item_predictions_sparse", "item_similarity", "eval_join", "error_distribution"):
+        files = QUERIES[name](spark, SF001).inputFiles()
+        assert files and not any("lineitem" in f for f in files), name
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    from ratesmith.session import FILE_CLEANUP, stored
+    blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {f.getName() for f in _seq(spark, blocks.getAllFiles()) if f.getName().startswith("shuffle_")}
+
+    before, conf = shuffles(), spark.conf.get(FILE_CLEANUP, None)
+    df = spark.range(1000).selectExpr("id % 7 k").groupBy("k").count()
+    assert stored(df, "t").count() == 7 and df.count() == 7
+    # what is left is of the two counts
+    left = shuffles() - before
+    assert len({f.split("_")[1] for f in left}) <= 3, left
+    assert spark.conf.get(FILE_CLEANUP, None) in (conf, "false")
+
+
+def _seq(spark, found):
+    return [found.apply(i) for i in range(found.size())]
