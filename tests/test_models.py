@@ -33,3 +33,28 @@ def test_contiguous_folds_sizes(spark):
     sizes = [sum(1 for r in folds if r.fold == f) for f in range(5)]
     assert sizes == [5, 5, 5, 4, 4]
     assert [r.fold for r in folds] == sorted(r.fold for r in folds)
+
+
+def test_training_table_takes_core_many_partitions(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    df = planted(spark, 2000).repartition(8 * cores, "user_id").persist()
+    few = MD.in_training_parts(df)
+    assert few.rdd.getNumPartitions() == cores
+    assert few.count() == 2000
+    monkeypatch.setattr(MD, "PART_ROWS", 2000 // (2 * cores))
+    assert MD.in_training_parts(df).rdd.getNumPartitions() in (2 * cores, 3 * cores)
+    df.unpersist()
+
+
+def test_fit_gives_the_tree_learner_few_partitions(spark, monkeypatch):
+    seen = []
+
+    class Watch(MD.Pipeline):
+        def fit(self, dataset, params=None):
+            seen.append(dataset.rdd.getNumPartitions())
+            return super().fit(dataset, params)
+
+    monkeypatch.setattr(MD, "Pipeline", Watch)
+    cores = spark.sparkContext.defaultParallelism
+    MD.fit(planted(spark, 500).repartition(8 * cores, "user_id"), ["x1", "x2"], preset="short", maxIter=1)
+    assert seen and max(seen) <= cores
