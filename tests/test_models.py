@@ -58,3 +58,21 @@ def test_fit_gives_the_tree_learner_few_partitions(spark, monkeypatch):
     cores = spark.sparkContext.defaultParallelism
     MD.fit(planted(spark, 500).repartition(8 * cores, "user_id"), ["x1", "x2"], preset="short", maxIter=1)
     assert seen and max(seen) <= cores
+
+
+def test_grid_scores_folds_as_a_cross_validator(spark, monkeypatch):
+    # no Python check of every row's fold: candidates are scored as by CrossValidator
+    monkeypatch.setattr("pyspark.ml.tuning.CrossValidator._kFold",
+                        lambda *a: (_ for _ in ()).throw(AssertionError("rows pass through Python")))
+    df = planted(spark, 600)
+    res = MD.grid_search(df, ["x1", "x2"], {"maxDepth": [1, 4], "maxIter": [3]}, k=3, order_by=["user_id"])
+    assert [p["maxDepth"] for p, _ in res.metrics] == [1, 4]
+    assert 0 < res.metrics[1][1] < res.metrics[0][1]
+    assert res.best_params == res.metrics[1][0]
+    folds = MD.contiguous_folds(df, ["user_id"], 3)
+    mses = []
+    for f in range(3):
+        model = MD.fit(folds.where(F.col("fold") != f), ["x1", "x2"], maxDepth=4, maxIter=3)
+        mses.append(model.transform(folds.where(F.col("fold") == f)).select(
+            F.avg(F.pow(F.col("prediction") - F.col("stars"), 2))).first()[0])
+    assert abs(sum(mses) / 3 - res.metrics[1][1]) < 1e-6
