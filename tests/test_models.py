@@ -43,6 +43,8 @@ def test_training_table_takes_core_many_partitions(spark, monkeypatch):
     assert few.count() == 2000
     monkeypatch.setattr(MD, "PART_ROWS", 2000 // (2 * cores))
     assert MD.in_training_parts(df).rdd.getNumPartitions() in (2 * cores, 3 * cores)
+    monkeypatch.setattr(MD, "PART_ROWS", 2000 // (5 * cores))  # 8 are few enough for 5
+    assert MD.in_training_parts(df).rdd.getNumPartitions() == 8 * cores
     df.unpersist()
 
 
