@@ -75,7 +75,7 @@ def _keys(rows: np.ndarray) -> pa.Array:
 
 
 def _word_runs(texts: DataFrame, seed: int) -> DataFrame:
-    """(lang, word, n): runs of the counted words."""
+    """(lang, word, id, n): runs of the counted words."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, names = HatTrie(2), {}
 
@@ -83,8 +83,9 @@ def _word_runs(texts: DataFrame, seed: int) -> DataFrame:
             raw = rows.astype(">u8").tobytes()
             lang, word = zip(*[names.pop(raw[i:i + 16]) for i in range(0, len(raw), 16)], strict=True)
             return pa.RecordBatch.from_arrays(
-                [pa.array(lang, pa.string()), pa.array(word, pa.binary()).cast(pa.string()), pa.array(counts)],
-                names=["lang", "word", "n"])
+                [pa.array(lang, pa.string()), pa.array(word, pa.binary()).cast(pa.string()),
+                 pa.array(rows[:, 0].astype(np.uint64).view(np.int64)), pa.array(counts)],
+                names=["lang", "word", "id", "n"])
 
         for batch in batches:
             for data, starts, ends, ids, _, lang_of in _word_ids(batch, seed):
@@ -99,7 +100,7 @@ def _word_runs(texts: DataFrame, seed: int) -> DataFrame:
         for run in trie.drain():
             yield out(*run)
 
-    return texts.mapInArrow(count, "lang string, word string, n long")
+    return texts.mapInArrow(count, "lang string, word string, id long, n long")
 
 
 def _keyed(words: DataFrame, seed: int) -> DataFrame:
